@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from forumlens.functions.scalars import elapsed_days
-from forumlens.operators.ranking import columns, same_keys
+from forumlens.operators.ranking import columns, match_keys
 
 Policy = Callable[[Column, Column, bool], Column]
 
@@ -83,20 +83,21 @@ def patch(target: DataFrame, source: DataFrame, key, update_cols: list[str] | No
     """Upsert one source row per key; a NULL source value keeps the stored one."""
     keys = columns(key)
     t = _keyed(target, keys, fold_case).withColumn("_in_t", F.lit(True))
-    s = _keyed(source, keys, fold_case).withColumn("_in_s", F.lit(True))
-    joined = t.join(s, same_keys(t, s, [f"_key_{k}" for k in keys]), "full_outer")
+    s = _keyed(source, keys, fold_case)
+    s = s.select(*[F.col(c).alias(f"_new_{c}") for c in s.columns])
+    joined = t.join(s, match_keys([f"_key_{k}" for k in keys], "_new_"), "full_outer")
     out = []
     for c in dict.fromkeys([*target.columns, *source.columns]):
         if c not in target.columns:
-            value = s[c]
+            value = F.col(f"_new_{c}")
         elif c not in source.columns:
-            value = t[c]
+            value = F.col(c)
         elif c in keys:
-            value = F.coalesce(t[c], s[c])
+            value = F.coalesce(F.col(c), F.col(f"_new_{c}"))
         elif update_cols is not None and c not in update_cols:
-            value = F.when(t["_in_t"].isNotNull(), t[c]).otherwise(s[c])
+            value = F.when(F.col("_in_t").isNotNull(), F.col(c)).otherwise(F.col(f"_new_{c}"))
         else:
-            value = F.coalesce(s[c], t[c])
+            value = F.coalesce(F.col(f"_new_{c}"), F.col(c))
         out.append(value.alias(c))
     return joined.select(*out)
 
@@ -145,7 +146,9 @@ def upsert_award_counts(target, source, owner: str, **kw):
 
 def missing_rows(target: DataFrame, new: DataFrame, key) -> DataFrame:
     """Rows of ``new`` whose key is not stored; NULL keys match NULL keys."""
-    return new.join(target.select(*columns(key)), same_keys(new, target, columns(key)), "left_anti")
+    keys = columns(key)
+    stored = target.select(*[F.col(k).alias(f"_old_{k}") for k in keys])
+    return new.join(stored, match_keys(keys, "_old_"), "left_anti")
 
 
 def append_missing(target: DataFrame, new: DataFrame, key) -> DataFrame:

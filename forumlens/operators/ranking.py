@@ -18,9 +18,12 @@ def columns(keys) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
 
 
-def same_keys(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
-    """Null-safe equality on ``keys``; still planned as an equi-join."""
-    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
+def match_keys(keys: list[str], other: str) -> Column:
+    """Null-safe equality of ``k`` with ``other + k``; still planned as an equi-join.
+
+    One side is renamed first, so both may stem from the same table.
+    """
+    return reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(other + k)) for k in keys])
 
 
 def exact_rank(df: DataFrame, order: list[Column], by=(), name: str = "rn") -> DataFrame:
@@ -43,12 +46,11 @@ def exact_rank(df: DataFrame, order: list[Column], by=(), name: str = "rn") -> D
     runs = placed.groupBy("_part", *by).agg(F.min("_slot").alias("_first"), F.count(F.lit(1)).alias("_len"))
     # One row per partition that a group touches, so this window stays small.
     earlier = Window.partitionBy(*by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    shifts = runs.select(
-        "_part", *by, (F.coalesce(F.sum("_len").over(earlier), F.lit(0)) - F.col("_first") + 1).alias("_shift")
-    )
-    joined = placed.join(shifts, same_keys(placed, shifts, ["_part", *by]))
-    kept = [placed[c] for c in df.columns]
-    return joined.select(*kept, (placed["_slot"] + shifts["_shift"]).alias(name))
+    keys = ["_part", *by]
+    before = F.coalesce(F.sum("_len").over(earlier), F.lit(0))
+    shifts = runs.select(*[F.col(k).alias(f"_of_{k}") for k in keys], (before - F.col("_first") + 1).alias("_shift"))
+    joined = placed.join(shifts, match_keys(keys, "_of_"))
+    return joined.select(*df.columns, (F.col("_slot") + F.col("_shift")).alias(name))
 
 
 def top_per_group(df: DataFrame, group, order: list[Column], n: int, name: str = "rn") -> DataFrame:
