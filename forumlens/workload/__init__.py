@@ -1,7 +1,7 @@
 """Registered queries over the given tables; importing the modules registers them."""
 
 from forumlens.workload.registry import ORACLES, QUERIES, runner
-from forumlens.workload import frontier_queries, member_queries, record_queries  # noqa: F401
+from forumlens.workload import frontier_queries, lexicon_queries, member_queries, record_queries, tree_queries  # noqa: F401
 
 
 def oracle_texts() -> dict[str, str]:
