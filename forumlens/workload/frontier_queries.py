@@ -15,6 +15,10 @@ AUTHORS = "(SELECT author_name FROM comments UNION SELECT author_name FROM threa
 LISTED = "SELECT CONCAT('g', s_suppkey) FROM supplier WHERE s_acctbal > 8000"
 
 
+# An empty request list filters nothing.
+IN_LISTED = f"(subreddit IN ({LISTED}) OR NOT EXISTS ({LISTED}))"
+
+
 def listed_groups(t):
     return t.supplier.filter("s_acctbal > 8000").select(F.concat(F.lit("g"), "s_suppkey").alias("subreddit"))
 
@@ -69,15 +73,15 @@ def valid_posts(t):
 @query(
     "rescrape_members",
     f"""SELECT username FROM users_t2 WHERE EPOCH(TIMESTAMP '{NOW}') - EPOCH(timestamp) > 500 * 86400
-    AND username IN (SELECT author_name FROM comments WHERE subreddit IN ({LISTED})
-      UNION SELECT author_name FROM threads WHERE subreddit IN ({LISTED}))""",
+    AND username IN (SELECT author_name FROM comments WHERE {IN_LISTED}
+      UNION SELECT author_name FROM threads WHERE {IN_LISTED})""",
 )
 def rescrape_members(t):
     return sel.members_in_groups(t.users_t2, t.comments, t.threads, listed_groups(t), 500, NOW, seed=1)
 
 
 REFRESH = f"""created BETWEEN TIMESTAMP '{NOW}' - INTERVAL 900 DAY AND TIMESTAMP '{NOW}' - INTERVAL 30 DAY
-  AND timestamp < TIMESTAMP '{NOW}' - INTERVAL 60 DAY AND subreddit IN ({LISTED})"""
+  AND timestamp < TIMESTAMP '{NOW}' - INTERVAL 60 DAY AND {IN_LISTED}"""
 
 
 @query(

@@ -165,8 +165,8 @@ query(
         lx.tag_union(lx.summary_rows(flagged(t, "specific")), lx.summary_rows(flagged(t, "general"))), "share"
     )
 )
-query("outlier_labels", f"{UP_TO_RATIO} SELECT subreddit, term, ROUND(ratio, 6) AS ratio FROM rat WHERE ratio > 1.2 AND relative > 0.015")(
-    lambda t: rounded(lx.outliers(lx.ratio(grid(t)), 1.2, 0.015), "ratio").select("subreddit", "term", "ratio")
+query("outlier_labels", f"{UP_TO_RATIO} SELECT subreddit, term, ROUND(ratio, 6) AS ratio FROM rat WHERE ratio > 1.237 AND relative > 0.015")(
+    lambda t: rounded(lx.outliers(lx.ratio(grid(t)), 1.237, 0.015), "ratio").select("subreddit", "term", "ratio")
 )
 query(
     "five_number",

@@ -60,7 +60,7 @@ def stream_upsert(t):
     record(t.events.filter("event_type <> 'click'"), F.lit(None), 100, "thread", 1).write.mode("append").parquet(path)
     record(t.events, F.lit("late"), 500, "profile", 2).write.mode("append").parquet(path)
     target = scratch_path(t.spark, "comments")
-    # One file per trigger: at this size every poll is one file.
+    # Files are read in the order they were written, so polls stay in order.
     records = st.feed(t.spark, path, first.schema, files_per_batch=1)
     st.upsert(records, target, scratch_path(t.spark, "upsert-state"), "day").awaitTermination()
     return t.spark.read.schema(first.schema).parquet(target).select(first.columns)
