@@ -15,6 +15,8 @@ BASE_TABLES = (
     "embeddings pages benchmark labels conversations"
 ).split()
 
+TEXT_TABLES = ("documents", "pages")
+
 VIEWS: dict[str, str] = {
     "comments": """
 SELECT CAST(l_orderkey * 8 + l_linenumber AS BIGINT) AS id,
@@ -119,12 +121,21 @@ class Tables:
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in BASE_TABLES:
-            return self.spark.read.parquet(self.path(name))
+            df = self.spark.read.parquet(self.path(name))
+            return self.spread(df) if name in TEXT_TABLES else df
         if name in VIEWS:
             used = re.findall(r"\{(\w+)\}", VIEWS[name])
             return self.spark.sql(VIEWS[name], **{u: getattr(self, u) for u in used})
         raise AttributeError(name)
 
+    def spread(self, df: DataFrame) -> DataFrame:
+        """Use all cores on a table whose few row groups would occupy only some of them.
+
+        A table of many files has more splits than cores and is left as it is.
+        """
+        cores = self.spark.sparkContext.defaultParallelism
+        return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
     @cached_property
     def lexicon(self) -> DataFrame:
         return self.spark.createDataFrame(LEXICON, "term string, canonical string, list string")
