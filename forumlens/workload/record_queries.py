@@ -221,7 +221,7 @@ def award_dim(t):
     stored = t.supplier.filter("s_acctbal > 3000").select(
         F.lit("silver").alias("name"), F.concat(F.lit("g"), "s_suppkey").alias("subreddit_id")
     )
-    site_wide = t.region.limit(1).select(F.lit("gold").alias("name"), F.lit(None).cast("string").alias("subreddit_id"))
+    site_wide = t.spark.createDataFrame([("gold", None)], "name string, subreddit_id string")
     return nz.new_awards(found, stored.unionByName(site_wide))
 
 
