@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,9 +18,6 @@ RECOMMENDED = {
     "spark.ui.enabled": "false",
 }
 
-_local_dirs: dict[str, str] = {}
-
-
 def build_session(app: str = "forumlens", master: str | None = None, **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:
@@ -32,20 +28,13 @@ def build_session(app: str = "forumlens", master: str | None = None, **conf: str
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach, taken from ``spark.checkpoint.dir``.
-
-    Only a local-mode session may fall back to a temporary folder: on a cluster that
-    folder would vanish with its machine, so there an unset option is an error.
-    """
+    """Folder every executor can reach: ``spark.checkpoint.dir``, in local mode else the warehouse."""
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    app = spark.sparkContext.applicationId
-    if app not in _local_dirs:
-        _local_dirs[app] = tempfile.mkdtemp(prefix="forumlens-")
-    return _local_dirs[app]
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

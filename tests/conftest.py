@@ -9,10 +9,12 @@ from forumlens.session import build_session
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
+    shared = str(tmp_path_factory.mktemp("shared"))
     session = build_session(
         "tests", "local[4]",
-        **{"spark.sql.shuffle.partitions": "4", "spark.driver.memory": "4g", "spark.ui.showConsoleProgress": "false"},
+        **{"spark.sql.shuffle.partitions": "4", "spark.driver.memory": "4g", "spark.ui.showConsoleProgress": "false",
+           "spark.checkpoint.dir": shared, "spark.sql.warehouse.dir": f"{shared}/warehouse"},
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

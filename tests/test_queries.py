@@ -13,6 +13,8 @@ sys.path.insert(0, os.path.join(os.path.dirname(__file__), "..", "scripts"))
 
 import __spark_entry__ as entry_points
 from check import canonical
+from forumlens.workload import QUERIES as REGISTERED
+from forumlens.workload import oracle_texts, runner
 from forumlens.workload.views import BASE_TABLES
 
 SF = "/root/testdata/sf0.001"
@@ -23,7 +25,7 @@ SAMPLE = [
     "adjusted_rand", "complete_link_check", "stream_totals",
 ]
 ALL = os.environ.get("FORUMLENS_QUERIES") == "all"
-QUERIES, ORACLES = entry_points.queries(), entry_points.oracle_sql()
+QUERIES, ORACLES = {n: runner(n) for n in REGISTERED}, oracle_texts()
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="given tables are absent")
 
@@ -53,6 +55,10 @@ def test_entry_runs(spark):
     assert entry_points.entry(spark).columns == ["subreddit", "count", "shadowban_count", "suspended_count", "bad_count"]
 
 
+def test_entry_registers_all():
+    assert set(QUERIES) <= set(entry_points.queries()) and set(ORACLES) <= set(entry_points.oracle_sql())
+
+
 def test_only_cluster_k_lacks_sql():
     assert set(QUERIES) - set(ORACLES) == {"cluster_k"}
 
