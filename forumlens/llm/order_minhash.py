@@ -11,9 +11,11 @@ similarity that heeds order, over all occurrences or over first occurrences, whi
 
 Texts with equal words are one node from the start.  A bucket of more than ``DIRECT`` nodes is
 worked off by leaders: the least node is compared with all members outside its component and
-leaves; later rounds take four times as many leaders.  A bucket is closed when its members form one
-component or all its cross pairs have been compared, so no candidate pair of different components
-stays untested, while a group of n near copies costs about n comparisons.
+leaves; later rounds take eight times as many leaders.  After the first round the shingles that only one
+node of the open buckets has are counted; they bound the similarity of a pair from above, and pairs out of
+reach are not compared.  A bucket is closed when its members form one component or all its cross pairs have been
+compared or ruled out, so no candidate pair of different components stays untested, while a group of n near
+copies costs about n comparisons.
 
 Defined results: null text: never a duplicate.  Text without words: a duplicate only of the same
 text.  Fewer than five words: one shingle of all of them.  Repeated rows and equal texts are one
@@ -256,11 +258,30 @@ def sketches(docs: DataFrame) -> DataFrame:
     return source.mapInArrow(_sketch_batches, _SKETCHED.format(id=docs.schema["doc_id"].dataType.simpleString()))
 
 
-def _long_enough(threshold: float):
-    def ratio(a: str, b: str):
-        return F.least(a, b) >= F.lit(threshold) * F.greatest(a, b)
+def _single_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for node, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            values = shingles(word_hashes(text))
+            seen = occurrence(values)
+            keys = mix(values + seen.astype(_U) * _U(0xC2B2AE3D27D4EB4F)).view(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([node] * len(keys), pa.binary()), pa.array((seen == 0).astype(np.int64)), pa.array(keys)], names=["node", "one", "key"])
+
+
+def _singles(texts: DataFrame) -> DataFrame:
+    """Per node: u and ud, its labelled and its distinct shingles that no other node of ``texts`` has."""
+    keys = texts.mapInArrow(_single_batches, "node binary, one long, key long")
+    alone = keys.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.min("node").alias("_n"), F.min("one").alias("one")).filter("c = 1")
+    return alone.groupBy("_n").agg(F.count(F.lit(1)).alias("_u"), F.sum("one").alias("_ud"))
+
+
+def _within_reach(threshold: float):
+    """Whether two nodes can be as similar as that: shingles that only one of them has are never shared."""
+    def reach(n: str, u: str):
+        common = F.least(F.col(n) - F.col(u), F.col(f"{n}2") - F.col(f"{u}2"))
+        return common >= F.lit(threshold - 1e-9) * (F.col(n) + F.col(f"{n}2") - common)
 
-    return ratio("n", "n2") | ratio("nd", "nd2")
+    return reach("n", "u") | reach("nd", "ud")
 
 
 def _candidates(members: DataFrame, leaders: int, threshold: float) -> tuple[DataFrame, DataFrame] | None:
@@ -275,10 +296,10 @@ def _candidates(members: DataFrame, leaders: int, threshold: float) -> tuple[Dat
     direct, large = live.filter("direct"), live.filter("not direct")
     first = Window.partitionBy("bucket").orderBy("node")
     led = freeze(large.withColumn("_at", F.row_number().over(first)).filter(F.col("_at") <= leaders).drop("_at"), "leaders")
-    renamed = [F.col(c).alias(f"{c}2") for c in ("bucket", "node", "n", "nd", "label")]
+    renamed = [F.col(c).alias(f"{c}2") for c in ("bucket", "node", "n", "nd", "u", "ud", "label")]
 
     def pairs(left: DataFrame, right: DataFrame, ordered: bool) -> DataFrame:
-        on = (F.col("bucket") == F.col("bucket2")) & (F.col("label") != F.col("label2")) & _long_enough(threshold)
+        on = (F.col("bucket") == F.col("bucket2")) & (F.col("label") != F.col("label2")) & _within_reach(threshold)
         if ordered:
             on = on & (F.col("node") < F.col("node2"))
         return left.join(right.select(*renamed), on).select(
@@ -303,7 +324,8 @@ def near_links(docs: DataFrame, sketched: DataFrame, threshold: float = THRESHOL
     texts = freeze(
         docs.select("doc_id", "text", F.xxhash64("text").alias("th")).join(at, same(["doc_id", "th"], ["_id", "_th"]))
         .select("node", "text").dropDuplicates(["node"]), "texts")
-    members, labels, links, tested, leaders = members.withColumn("label", F.col("node")), None, None, None, 1
+    zero = F.lit(0).cast("long")
+    members, labels, links, tested, leaders = members.withColumns({"label": F.col("node"), "u": zero, "ud": zero}), None, None, None, 1
     while (step := _candidates(members, leaders, threshold)) is not None:
         fresh, members = step
         if tested is not None:
@@ -321,7 +343,15 @@ def near_links(docs: DataFrame, sketched: DataFrame, threshold: float = THRESHOL
             links = passed if links is None else links.unionByName(passed)
             labels = freeze(components(links, 1.0).select(F.col("group").alias("node"), F.col("cluster").alias("label")), "labels")
             members = members.drop("label").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        leaders *= 4
+        if leaders == 1:
+            # What is left are large groups: nodes that differ too much from all others of these leave them.
+            there = members.select(F.col("node").alias("_m")).distinct()
+            single = freeze(_singles(texts.join(there, F.col("node") == F.col("_m"), "left_semi")), "singles")
+            members = members.drop("u", "ud").join(single, F.col("node") == F.col("_n"), "left")
+            members = members.withColumns({"u": F.coalesce("_u", zero), "ud": F.coalesce("_ud", zero)}).drop("_n", "_u", "_ud")
+            members = members.filter(
+                (F.col("n") - F.col("u") >= (threshold - 1e-9) * F.col("n")) | (F.col("nd") - F.col("ud") >= (threshold - 1e-9) * F.col("nd")))
+        leaders *= 8
     return labels
 
 
