@@ -13,7 +13,7 @@ lowers a score.
 Scores need only the text; labels, language, source and id are never inputs.
 
 Defined results: null or empty text is scored by the intercept; labels are joined by doc_id, several labels of one id count
-as the highest, null labels not at all; without a label 1 and a label 0 in training, all scores are the (smoothed) share of 1.
+as the highest, null labels not at all; without a label 1 and a label 0 in training there is nothing to learn: all scores are 0.25.
 Repeated rows get equal scores.
 """
 
@@ -155,7 +155,7 @@ def train(docs: DataFrame, labels: DataFrame, pairs=IDENTITY_PAIRS) -> Model:
     total = sums.filter("bucket = -1").first()
     n0, n1 = (total["clean"], total["toxic"]) if total else (0, 0)
     if not n0 or not n1:
-        return Model({}, np.zeros(0), float(np.log((n1 + 0.5) / (n0 + 1.5))))
+        return Model({}, np.zeros(0), -float(np.log(3)))
     share = (F.col("clean") + F.col("toxic") + 1) / (n0 + n1 + 2)
     spread = F.sqrt(share * (1 - share) * (1 / n0 + 1 / n1))
     gain = F.abs(F.col("toxic") / n1 - F.col("clean") / n0) / spread
