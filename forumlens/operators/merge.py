@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from forumlens.functions.scalars import elapsed_days
-from forumlens.operators.ranking import columns, match_keys
+from forumlens.operators.ranking import columns, first_by_key, match_keys
 
 Policy = Callable[[Column, Column, bool], Column]
 
@@ -151,9 +151,15 @@ def missing_rows(target: DataFrame, new: DataFrame, key) -> DataFrame:
     return new.join(stored, match_keys(keys, "_old_"), "left_anti")
 
 
-def append_missing(target: DataFrame, new: DataFrame, key) -> DataFrame:
-    """Insert-or-ignore: the stored row of a known key wins."""
-    fresh = missing_rows(target, new, key).dropDuplicates(columns(key))
+def first_of(df: DataFrame, key, order: list[Column] | None = None) -> DataFrame:
+    """First row of every key in ``order``; without one the least row, so the survivor is always the same."""
+    plain = [F.col(f.name) for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+    return first_by_key(df, key, [*(order or []), *plain])
+
+
+def append_missing(target: DataFrame, new: DataFrame, key, order: list[Column] | None = None) -> DataFrame:
+    """Insert-or-ignore: the stored row of a known key wins, then the first new one in ``order``."""
+    fresh = first_of(missing_rows(target, new, key), key, order)
     return target.unionByName(fresh, allowMissingColumns=True)
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from forumlens.functions.scalars import MENTION_PATTERN, epoch_utc
-from forumlens.operators.merge import missing_rows
+from forumlens.operators.merge import first_of, missing_rows
 from forumlens.operators.ranking import columns, exact_rank
 
 # Map keys of the three gildings.
@@ -34,10 +34,10 @@ def award_facts(df: DataFrame, key: str, awards: str = "awards") -> DataFrame:
     )
 
 
-def new_awards(definitions: DataFrame, dim: DataFrame) -> DataFrame:
-    """Award definitions not stored yet; a site-wide award has a NULL subreddit_id."""
+def new_awards(definitions: DataFrame, dim: DataFrame, order: list[Column] | None = None) -> DataFrame:
+    """Award definitions not stored yet, the first of each in ``order``; a site-wide award has a NULL subreddit_id."""
     key = ["name", "subreddit_id"]
-    return missing_rows(dim, definitions.dropDuplicates(key), key)
+    return missing_rows(dim, first_of(definitions, key, order), key)
 
 
 def traffic(df: DataFrame, key: str = "subreddit") -> DataFrame:
@@ -70,12 +70,14 @@ def mentions(df: DataFrame, text: str, pattern: str = MENTION_PATTERN, kind: str
     )
 
 
-def wiki_pages(df: DataFrame, max_pages: int = 120, key: str = "subreddit", content: str = "content") -> DataFrame:
-    """Non-empty pages of groups whose wiki has at most ``max_pages`` pages.
+def wiki_pages(df: DataFrame, max_pages: int | None = None, key: str = "subreddit", content: str = "content") -> DataFrame:
+    """Non-empty pages; with ``max_pages`` only of groups whose wiki has at most so many.
 
     The page count is an aggregation joined back, not a window, so a huge wiki is never
     gathered in one task only to be dropped.
     """
+    if max_pages is None:
+        return df.filter(F.length(content) > 0)
     small = df.groupBy(key).agg(F.count(F.lit(1)).alias("_pages")).filter(F.col("_pages") <= max_pages).select(key)
     return df.filter(F.length(content) > 0).join(small, key, "left_semi")
 
@@ -83,8 +85,3 @@ def wiki_pages(df: DataFrame, max_pages: int = 120, key: str = "subreddit", cont
 def with_pos(df: DataFrame, group: str, order: list[Column]) -> DataFrame:
     """0-based position of every row in its group's ordered list."""
     return exact_rank(df, order, [group], "_rn").withColumn("pos", F.col("_rn") - 1).drop("_rn")
-
-
-def list_positions(df: DataFrame, key: str, members: str) -> DataFrame:
-    """Same for a list that arrives as an array column."""
-    return df.select(key, F.posexplode(members).alias("pos", "username"))

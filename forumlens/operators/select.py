@@ -98,6 +98,11 @@ def stale(wanted: DataFrame, users: DataFrame, delay: float, now, key: str = "us
     return wanted.join(seen, key, "left").filter(F.col("last_seen").isNull() | due).select(*wanted.columns)
 
 
+def days_before(now, days: float) -> Column:
+    """A point in time to compare a bare column with, so that the filter reaches the files."""
+    return as_ntz(now) - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(float(days) * 86400))
+
+
 def valid(posts: DataFrame, stored: DataFrame, now, min_comments: int = 0, max_comments: int | None = None,
           age: tuple[float, float] | None = None, delay: float = -1, ts: str = "timestamp") -> DataFrame:
     """Posts within comment and age bounds that are new or last refreshed too long ago."""
@@ -107,7 +112,7 @@ def valid(posts: DataFrame, stored: DataFrame, now, min_comments: int = 0, max_c
     if max_comments is not None:
         kept = kept.filter(F.col("num_comments") <= max_comments)
     if age is not None:
-        kept = kept.filter(elapsed_days(as_ntz(now), "created").between(*age))
+        kept = kept.filter(F.col("created").between(days_before(now, age[1]), days_before(now, age[0])))
     seen = last_seen(stored, "id", ts, F.col("scrape_mode") == "thread")
     due = F.lit(False) if delay == -1 else elapsed_days(as_ntz(now), "last_seen") > delay
     return kept.join(seen, "id", "left").filter(F.col("last_seen").isNull() | due).select(*posts.columns)
@@ -119,7 +124,7 @@ def members_in_groups(users, comments, threads, groups: DataFrame, delay: float
     active = members_of(in_list(comments, "subreddit", groups), in_list(threads, "subreddit", groups))
     rows = users
     if delay not in (None, -1):
-        rows = rows.filter(elapsed_days(as_ntz(now), ts) > delay)
+        rows = rows.filter(F.col(ts) < days_before(now, delay))
     chosen = rows.select("username").join(active, F.col("username") == F.col("author_name"), "left_semi")
     return shuffle(chosen, seed)
 
@@ -162,7 +167,7 @@ def resample(users1, users2, lo: float, hi: float, now, ts: str = "timestamp") -
     age = elapsed_days(as_ntz(now), ts)
     return (
         users1.join(users2.select("username"), "username", "left_anti")
-        .filter(age <= hi)
+        .filter(F.col(ts) >= days_before(now, hi))
         .select("username", F.col(ts), F.greatest(F.lit(0.0), (lo - age) * 86400.0).alias("wait_seconds"))
         .orderBy(ts, "username")
     )
@@ -205,9 +210,10 @@ def batches(df: DataFrame, size: int = 100, order: list[Column] | None = None) -
     return ranked.withColumn("batch", F.floor((F.col("rn") - 1) / size)).drop("rn")
 
 
-def interleave(df: DataFrame, group: str, order: list[Column], cap: int = 15000) -> DataFrame:
-    """Take the next item of each group in turn; each group queues at most ``cap`` items."""
-    return top_per_group(df, group, order, cap, "turn").orderBy("turn", group)
+def interleave(df: DataFrame, group: str, order: list[Column], cap: int | None = None) -> DataFrame:
+    """Take the next item of each group in turn; with ``cap`` each group queues at most so many items."""
+    turns = exact_rank(df, order, group, "turn") if cap is None else top_per_group(df, group, order, cap, "turn")
+    return turns.orderBy("turn", group)
 
 
 def threads_of(members: DataFrame, comments, threads) -> DataFrame:

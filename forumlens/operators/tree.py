@@ -16,9 +16,8 @@ from forumlens.operators.ranking import exact_rank
 from forumlens.operators.select import union_distinct
 from forumlens.session import freeze
 
-# Depth and width of a full traversal.
+# Fixed value: depth of a full traversal.
 FULL_DEPTH = 30
-FULL_WIDTH = 500_000
 
 
 def default_order() -> list[Column]:

@@ -6,19 +6,22 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from forumlens.operators.merge import missing_rows
-from forumlens.operators.ranking import columns
+from forumlens.operators.merge import first_of, missing_rows
 from forumlens.sources.schemas import SCHEMAS
 
 
+# Stands for NULL in CSV files, which keeps it apart from the empty string.
+CSV_NULL = "\\N"
+
+
 def load(spark: SparkSession, path: str, entity: str | T.StructType) -> DataFrame:
     """Entity table with its declared schema, so nothing is inferred and old files still fit."""
     schema = SCHEMAS[entity] if isinstance(entity, str) else entity
     return spark.read.schema(schema).parquet(path)
 
 
-def read_list(spark: SparkSession, path: str, limit: int = 30, name: str = "name") -> DataFrame:
-    """Names from a text file, one per line; blank and over-long lines are dropped.
+def read_list(spark: SparkSession, path: str, limit: int | None = None, name: str = "name") -> DataFrame:
+    """Names from a text file, one per line, without blank lines; with ``limit`` also without longer ones.
 
     A line's length includes its line end, as the limit was defined on raw lines.
     """
@@ -26,18 +29,24 @@ def read_list(spark: SparkSession, path: str, limit: int = 30, name: str = "name
     return clean_list(lines, "value", limit, name)
 
 
-def clean_list(lines: DataFrame, col: str, limit: int = 30, name: str = "name") -> DataFrame:
+def clean_list(lines: DataFrame, col: str, limit: int | None = None, name: str = "name") -> DataFrame:
     raw = F.length(col) + 1
     stripped = F.trim(F.regexp_replace(col, r"^\s+|\s+$", ""))
-    return lines.filter(raw <= limit).select(stripped.alias(name)).filter(F.col(name) != "")
+    kept = lines if limit is None else lines.filter(raw <= limit)
+    return kept.select(stripped.alias(name)).filter(F.col(name) != "")
 
 
 def load_csv(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:
-    return spark.read.csv(path, header=True, schema=schema, mode="FAILFAST", quote='"', escape='"')
+    """Reads what ``export_csv`` writes: line breaks, outer blanks and empty strings come back as they were."""
+    return spark.read.csv(
+        path, header=True, schema=schema, mode="FAILFAST", quote='"', escape='"', multiLine=True, nullValue=CSV_NULL, emptyValue="",
+        ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
 
 
 def export_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    df.write.mode(mode).option("header", True).option("quote", '"').option("escape", '"').csv(path)
+    df.write.mode(mode).csv(
+        path, header=True, quote='"', escape='"', nullValue=CSV_NULL, emptyValue='""',
+        ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
 
 
 def materialize(df: DataFrame, name: str, if_exists: str = "ignore", path: str | None = None,
@@ -59,10 +68,10 @@ def materialize(df: DataFrame, name: str, if_exists: str = "ignore", path: str |
     return df.sparkSession.table(name)
 
 
-def insert_new(target_path: str, new: DataFrame, key) -> None:
-    """Append to a Parquet table the rows whose key it does not hold yet."""
+def insert_new(target_path: str, new: DataFrame, key, order: list[Column] | None = None) -> None:
+    """Append to a Parquet table the rows whose key it does not hold yet, the first of each key in ``order``."""
     target = new.sparkSession.read.parquet(target_path)
-    missing_rows(target, new, key).dropDuplicates(columns(key)).write.mode("append").parquet(target_path)
+    first_of(missing_rows(target, new, key), key, order).write.mode("append").parquet(target_path)
 
 
 def align_union(old: DataFrame, new: DataFrame, defaults: dict[str, Column] | None = None) -> DataFrame:

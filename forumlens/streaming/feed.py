@@ -66,8 +66,11 @@ def touched_part(spark: SparkSession, path: str, schema: T.StructType, batch: Da
     touched = batch.select(partition).distinct()
     listed = touched.limit(MAX_LISTED_PARTITIONS + 1).collect()
     if len(listed) > MAX_LISTED_PARTITIONS:
-        return target.join(touched, partition, "left_semi")
-    return target.filter(F.col(partition).isin(*[r[0] for r in listed]))
+        named = touched.select(F.col(partition).alias("_touched"))
+        return target.join(named, F.col(partition).eqNullSafe(F.col("_touched")), "left_semi")
+    # isin never matches NULL, which is a partition of its own.
+    touches = F.col(partition).isin(*[r[0] for r in listed if r[0] is not None])
+    return target.filter(touches | F.col(partition).isNull() if any(r[0] is None for r in listed) else touches)
 
 
 def upsert_to(path: str, schema: T.StructType, partition: str, key="id", policy: Policy | None = None,

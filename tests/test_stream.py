@@ -3,6 +3,7 @@
 import datetime as dt
 
 from conftest import rows
+from pyspark.sql import types as T
 
 from forumlens.operators import merge as mg
 from forumlens.session import scratch_path
@@ -58,3 +59,14 @@ def test_dedupe_totals_and_new_members(spark):
     assert rows(st.drain(st.totals(feed(), "scrape_mode"), "complete", "b")) == [("profile", 50), ("thread", 20)]
     users = spark.createDataFrame([("u1",)], "username string")
     assert rows(st.drain(st.new_members(feed(), users), label="c")) == [("u0",), ("u2",), ("u3",), ("u9",)]
+
+
+def test_batches_keep_stored_rows_of_the_null_partition(spark, tmp_path):
+    from forumlens.streaming.feed import touched_part
+
+    schema = T.StructType([T.StructField("id", T.IntegerType()), T.StructField("day", T.StringType())])
+    stored = spark.createDataFrame([(1, None), (2, "a"), (3, "b")], schema)
+    stored.write.partitionBy("day").parquet(str(tmp_path / "t"))
+    batch = spark.createDataFrame([(4, None), (5, "a")], schema)
+    got = touched_part(spark, str(tmp_path / "t"), schema, batch, "day")
+    assert sorted(r["id"] for r in got.collect()) == [1, 2]

@@ -193,7 +193,7 @@ def test_history_latest(spark):
 
 def test_read_list(spark, tmp_path):
     (tmp_path / "names.txt").write_text("a\n\n   \n" + "x" * 35 + "\n  b \n" + "y" * 29 + "\n" + "z" * 30 + "\n")
-    assert rows(files.read_list(spark, str(tmp_path / "names.txt"))) == [("a",), ("b",), ("y" * 29,)]
+    assert rows(files.read_list(spark, str(tmp_path / "names.txt"), limit=30)) == [("a",), ("b",), ("y" * 29,)]
 
 
 def test_csv_round_trip_keeps_quotes(spark, tmp_path):
@@ -245,3 +245,20 @@ def test_risk_counts_unmatched_members_but_adds_null(spark):
                                "username string, id string, shadowbanned_by_date timestamp_ntz, suspended_by_date timestamp_ntz")
     got = {r[0]: tuple(r)[1:] for r in risk.risk(activity, u1, u2, n=5, min_count=1).collect()}
     assert got == {"g": (2, 1, 0, 1), "h": (1, None, None, None)}
+
+
+def test_csv_round_trip_keeps_blanks_breaks_and_empties(spark, tmp_path):
+    data = [(1, ""), (2, None), (3, " pad "), (4, "two\nlines"), (5, 'a "quote", comma'), (6, "\\N x")]
+    df = spark.createDataFrame(data, "id int, text string")
+    files.export_csv(df, str(tmp_path / "out"))
+    assert rows(files.load_csv(spark, str(tmp_path / "out"), df.schema)) == sorted(data, key=repr)
+
+
+def test_insert_or_ignore_keeps_the_first_in_order(spark):
+    from forumlens.operators.merge import append_missing
+
+    new = spark.createDataFrame([(1, 5, "b"), (1, 3, "z"), (1, 9, "a"), (2, 1, "c")], "id int, at int, v string")
+    target = new.limit(0)
+    for parts in (1, 2, 4):
+        got = append_missing(target, new.repartition(parts), "id", [F.col("at")])
+        assert rows(got) == [(1, 3, "z"), (2, 1, "c")]
