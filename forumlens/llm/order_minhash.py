@@ -11,7 +11,7 @@ similarity that heeds order, over all occurrences or over first occurrences, whi
 
 Texts with equal words are one node from the start.  A bucket of more than ``DIRECT`` nodes is
 worked off by leaders: the least node is compared with all members outside its component and
-leaves; later rounds take eight times as many leaders.  After the first round the shingles that only one
+leaves; later rounds take sixteen times as many leaders.  After the first round the shingles that only one
 node of the open buckets has are counted; they bound the similarity of a pair from above, and pairs out of
 reach are not compared.  A bucket is closed when its members form one component or all its cross pairs have been
 compared or ruled out, so no candidate pair of different components stays untested, while a group of n near
@@ -153,7 +153,7 @@ def occurrence(values: np.ndarray) -> np.ndarray:
     return out
 
 
-def sketch(values: np.ndarray, labelled: np.ndarray) -> np.ndarray:
+def sketch(values: np.ndarray, marked: np.ndarray) -> np.ndarray:
     """One key per random order: the least labelled shingles, in text order."""
     n, take = len(values), min(TUPLE, len(values))
     if not n:
@@ -162,7 +162,7 @@ def sketch(values: np.ndarray, labelled: np.ndarray) -> np.ndarray:
     keys = []
     for at in range(0, SKETCHES, rows):
         seeds = _SEEDS[at : at + rows, None]
-        ranks = mix(labelled[None, :] ^ seeds)
+        ranks = mix(marked[None, :] ^ seeds)
         least = np.argpartition(ranks, take - 1, axis=1)[:, :take]
         least.sort(axis=1)
         key = np.broadcast_to(seeds[:, 0], len(seeds)).copy()
@@ -190,12 +190,11 @@ def _sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         nodes, ns, nds, keys = [], [], [], []
         for text, hashes in zip(texts, batch_hashes(texts)):
             values = shingles(hashes)
-            seen = occurrence(values)
-            labelled = values + seen.astype(_U) * _U(0xC2B2AE3D27D4EB4F)
+            marked, first = labelled(values)
             nodes.append(_fingerprint(hashes, text))
             ns.append(len(values))
-            nds.append(int((seen == 0).sum()))
-            keys.append(sketch(values, mix(labelled)).view(np.int64))
+            nds.append(int(first.sum()))
+            keys.append(sketch(values, marked).view(np.int64))
         offsets = np.cumsum([0] + [len(k) for k in keys]).astype(np.int32)
         flat = np.concatenate(keys) if keys else np.zeros(0, dtype=np.int64)
         yield pa.RecordBatch.from_arrays(
@@ -205,14 +204,17 @@ def _sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         )
 
 
-def _chain(a: np.ndarray, b: np.ndarray, band: int) -> int:
-    """Length of the longest common subsequence of two sequences of unique values within a band."""
+def _chain(a: np.ndarray, b: np.ndarray, band: int, least: float) -> int:
+    """Length of the longest common subsequence of two sequences of unique values within a band.
+
+    Fewer than ``least`` matches can't become as many in order, so their number is returned as it is.
+    """
     order = np.argsort(b)
     at = np.minimum(np.searchsorted(b, a, sorter=order), len(b) - 1)
     j = order[at]
     hit = (b[j] == a) & (np.abs(np.arange(len(a)) - j) <= band)
     row = j[hit]
-    if len(row) == 0 or (np.diff(row) > 0).all():
+    if len(row) < least or (np.diff(row) > 0).all():
         return len(row)
     tails: list[int] = []
     for x in row.tolist():
@@ -224,27 +226,54 @@ def _chain(a: np.ndarray, b: np.ndarray, band: int) -> int:
     return len(tails)
 
 
-def similarity(one: np.ndarray, two: np.ndarray, threshold: float = THRESHOLD) -> float:
-    """Aligned share of two shingle sequences; exact from ``threshold`` on."""
-    best = 0.0
-    seen = occurrence(one), occurrence(two)
-    for a, b in ((mix(one + seen[0].astype(_U) * _U(_BASE)), mix(two + seen[1].astype(_U) * _U(_BASE))),
-                 (one[seen[0] == 0], two[seen[1] == 0])):
+def labelled(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles with their occurrence mixed in, so all differ, and whether each is a first occurrence."""
+    seen = occurrence(values)
+    return mix(values + seen.astype(_U) * _U(0xC2B2AE3D27D4EB4F)), seen == 0
+
+
+def aligned(one: tuple[np.ndarray, np.ndarray], two: tuple[np.ndarray, np.ndarray], threshold: float) -> float:
+    """Aligned share of two labelled sequences; exact from ``threshold`` on."""
+    best, sides = 0.0, [(one[0], two[0])]
+    if not (one[1].all() and two[1].all()):
+        sides.append((one[0][one[1]], two[0][two[1]]))
+    for a, b in sides:
         total = len(a) + len(b)
         if not len(a) or not len(b) or min(len(a), len(b)) < threshold * max(len(a), len(b)):
             continue
         # At most this many shingles stay unmatched, so no match lies further off the diagonal.
         band = int((1 - threshold) / (1 + threshold) * total) + 1
-        common = _chain(a, b, band)
+        common = _chain(a, b, band, threshold / (1 + threshold) * total - 1e-6)
         best = max(best, common / (total - common))
     return best
 
 
+def similarity(one: np.ndarray, two: np.ndarray, threshold: float = THRESHOLD) -> float:
+    """Aligned share of two shingle sequences; exact from ``threshold`` on."""
+    return aligned(labelled(one), labelled(two), threshold)
+
+
+def _label_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts as labelled shingles, so that a text of many pairs is hashed once; one row at a time."""
+    for batch in batches:
+        for node, text in zip(batch.column(0), batch.column(1)):
+            values, first = labelled(shingles(word_hashes(text.as_py())))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([node.as_py()], pa.binary()), pa.array([values.tobytes()], pa.binary()),
+                 pa.array([np.packbits(first).tobytes()], pa.binary())], names=["node", "values", "firsts"])
+
+
+def _stored(values: bytes, firsts: bytes) -> tuple[np.ndarray, np.ndarray]:
+    found = np.frombuffer(values, dtype=_U)
+    return found, np.unpackbits(np.frombuffer(firsts, dtype=np.uint8), count=len(found)).astype(bool)
+
+
 def _verify(threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            one, two = batch.column(2).to_pylist(), batch.column(3).to_pylist()
-            found = [1 - similarity(shingles(word_hashes(x)), shingles(word_hashes(y)), threshold) for x, y in zip(one, two)]
+            found = [
+                1 - aligned(_stored(a.as_py(), af.as_py()), _stored(b.as_py(), bf.as_py()), threshold)
+                for a, af, b, bf in zip(*(batch.column(c) for c in range(2, 6)))]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(found, pa.float64())], names=["i", "j", "distance"]
             )
@@ -260,12 +289,11 @@ def sketches(docs: DataFrame) -> DataFrame:
 
 def _single_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for node, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            values = shingles(word_hashes(text))
-            seen = occurrence(values)
-            keys = mix(values + seen.astype(_U) * _U(0xC2B2AE3D27D4EB4F)).view(np.int64)
+        for node, values, firsts in zip(*(batch.column(c) for c in range(3))):
+            keys, first = _stored(values.as_py(), firsts.as_py())
             yield pa.RecordBatch.from_arrays(
-                [pa.array([node] * len(keys), pa.binary()), pa.array((seen == 0).astype(np.int64)), pa.array(keys)], names=["node", "one", "key"])
+                [pa.array([node.as_py()] * len(keys), pa.binary()), pa.array(first.astype(np.int64)), pa.array(keys.view(np.int64))],
+                names=["node", "one", "key"])
 
 
 def _singles(texts: DataFrame) -> DataFrame:
@@ -323,7 +351,7 @@ def near_links(docs: DataFrame, sketched: DataFrame, threshold: float = THRESHOL
     at = at.select("node", F.col("doc_id").alias("_id"), F.col("th").alias("_th"))
     texts = freeze(
         docs.select("doc_id", "text", F.xxhash64("text").alias("th")).join(at, same(["doc_id", "th"], ["_id", "_th"]))
-        .select("node", "text").dropDuplicates(["node"]), "texts")
+        .select("node", "text").dropDuplicates(["node"]).mapInArrow(_label_batches, "node binary, values binary, firsts binary"), "texts")
     zero = F.lit(0).cast("long")
     members, labels, links, tested, leaders = members.withColumns({"label": F.col("node"), "u": zero, "ud": zero}), None, None, None, 1
     while (step := _candidates(members, leaders, threshold)) is not None:
@@ -332,9 +360,9 @@ def near_links(docs: DataFrame, sketched: DataFrame, threshold: float = THRESHOL
             fresh = fresh.join(tested, ["i", "j"], "left_anti")
         fresh = freeze(fresh, "pairs")
         with_texts = (
-            fresh.join(texts.select(F.col("node").alias("i"), F.col("text").alias("one")), "i")
-            .join(texts.select(F.col("node").alias("j"), F.col("text").alias("two")), "j")
-            .select("i", "j", "one", "two")
+            fresh.join(texts.select(F.col("node").alias("i"), F.col("values").alias("v1"), F.col("firsts").alias("f1")), "i")
+            .join(texts.select(F.col("node").alias("j"), F.col("values").alias("v2"), F.col("firsts").alias("f2")), "j")
+            .select("i", "j", "v1", "f1", "v2", "f2")
         )
         checked = with_texts.mapInArrow(_verify(threshold), "i binary, j binary, distance double")
         passed = freeze(checked.filter(F.col("distance") <= 1 - threshold + 1e-9), "links")
@@ -351,7 +379,7 @@ def near_links(docs: DataFrame, sketched: DataFrame, threshold: float = THRESHOL
             members = members.withColumns({"u": F.coalesce("_u", zero), "ud": F.coalesce("_ud", zero)}).drop("_n", "_u", "_ud")
             members = members.filter(
                 (F.col("n") - F.col("u") >= (threshold - 1e-9) * F.col("n")) | (F.col("nd") - F.col("ud") >= (threshold - 1e-9) * F.col("nd")))
-        leaders *= 8
+        leaders *= 16
     return labels
 
 
