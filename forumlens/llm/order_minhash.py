@@ -207,14 +207,16 @@ def _sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 def _chain(a: np.ndarray, b: np.ndarray, band: int, least: float) -> int:
     """Length of the longest common subsequence of two sequences of unique values within a band.
 
-    Fewer than ``least`` matches can't become as many in order, so their number is returned as it is.
+    Fewer than ``least`` matches can't become as many in order; they count as none.
     """
     order = np.argsort(b)
     at = np.minimum(np.searchsorted(b, a, sorter=order), len(b) - 1)
     j = order[at]
     hit = (b[j] == a) & (np.abs(np.arange(len(a)) - j) <= band)
     row = j[hit]
-    if len(row) < least or (np.diff(row) > 0).all():
+    if len(row) < least:
+        return 0
+    if (np.diff(row) > 0).all():
         return len(row)
     tails: list[int] = []
     for x in row.tolist():
@@ -233,7 +235,7 @@ def labelled(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def aligned(one: tuple[np.ndarray, np.ndarray], two: tuple[np.ndarray, np.ndarray], threshold: float) -> float:
-    """Aligned share of two labelled sequences; exact from ``threshold`` on."""
+    """Aligned share of two labelled sequences; exact from ``threshold`` on, 0 where it is out of reach."""
     best, sides = 0.0, [(one[0], two[0])]
     if not (one[1].all() and two[1].all()):
         sides.append((one[0][one[1]], two[0][two[1]]))
