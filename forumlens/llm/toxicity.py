@@ -3,8 +3,9 @@
 Features of a text are its distinct words and the prefixes of ``PREFIXES`` characters of them (word families of
 inflected languages).  Every labelled training row takes part in choosing features: documents per feature and label are
 counted in hashed buckets, and the ``FEATURES`` buckets with the largest standardised difference are kept.
-A logistic model is then fitted on at most ``SAMPLE`` training rows, the ones with the least hash of doc_id, of
-which only the kept features are gathered: at most SAMPLE x FEATURES small numbers, and far fewer in practice.
+A logistic model is then fitted on at most ``SAMPLE`` training rows, the ones with the least hash of doc_id (of rows with
+one doc_id the one with the least hash of the text), of which only the kept features are gathered: at most
+SAMPLE x FEATURES small numbers, and far fewer in practice.
 
 For each of these rows the identity terms are swapped for their counterparts, and the loss has, beside log loss and
 a ridge, ``COUNTERFACTUAL`` times the squared change of the score's logit: naming a group neither raises nor
@@ -86,9 +87,15 @@ def fold(doc_id: Column) -> Column:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Rows of ``docs`` outside the held-out fold that have a label, with ``label``."""
     known = labels.filter(F.col("toxic").isNotNull()).groupBy(F.col("doc_id").alias("_id")).agg(F.max("toxic").cast("int").alias("label"))
-    rows = docs.filter(fold(F.col("doc_id")) != 0).join(known, F.col("doc_id") == F.col("_id"))
-    return rows.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "label")
+    return docs.filter(fold(F.col("doc_id")) != 0).join(known, F.col("doc_id") == F.col("_id")).drop("_id")
+
+
+def sample_ids(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The SAMPLE labelled training ids with the least hash: at (the hash), label."""
+    rows = training_rows(docs.select("doc_id"), labels)
+    return rows.select(F.xxhash64("doc_id").alias("at"), "label").distinct().orderBy("at").limit(SAMPLE)
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -149,8 +156,8 @@ def fit(rows: list[tuple[int, list[int], list[int]]], n: int, counterfactual: fl
 
 
 def train(docs: DataFrame, labels: DataFrame, pairs=IDENTITY_PAIRS) -> Model:
-    rows = training_rows(docs, labels)
-    sums = rows.select("text", "label").mapInArrow(_count, "bucket long, clean long, toxic long")
+    whole = F.coalesce("text", F.lit("")).alias("text")
+    sums = training_rows(docs.select("doc_id", whole), labels).select("text", "label").mapInArrow(_count, "bucket long, clean long, toxic long")
     sums = sums.groupBy("bucket").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     total = sums.filter("bucket = -1").first()
     n0, n1 = (total["clean"], total["toxic"]) if total else (0, 0)
@@ -168,18 +175,21 @@ def train(docs: DataFrame, labels: DataFrame, pairs=IDENTITY_PAIRS) -> Model:
         features = Features(kept)
         for batch in batches:
             one, two = [], []
-            for text in batch.column(1).to_pylist():
+            for text in batch.column(3).to_pylist():
                 words = set(words_of(text))
                 one.append(sorted(features.of(words)))
                 two.append(sorted(features.of({swap.get(w, w) for w in words})) if not words.isdisjoint(swap) else one[-1])
             kind = pa.list_(pa.int32())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(one, kind), pa.array(two, kind)],
-                                             names=["at", "label", "one", "two"])
-
-    chosen = rows.select(F.xxhash64("doc_id", "text").alias("at"), "text", "label")
-    # Rows are cut to their kept features first; the least SAMPLE of them by hash then go to the driver.
-    cut = chosen.select("at", "text", "label").mapInArrow(gather, "at long, label int, one array<int>, two array<int>")
-    sample = cut.orderBy("at").limit(SAMPLE).collect()
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), batch.column(2), pa.array(one, kind), pa.array(two, kind)],
+                names=["at", "th", "label", "one", "two"])
+
+    # The sample is named by ids first, at most SAMPLE rows of two numbers, so its texts are met without a shuffle.
+    rows = docs.filter(F.col("doc_id").isNotNull()).select(F.xxhash64("doc_id").alias("at"), F.xxhash64("text").alias("th"), whole)
+    met = rows.join(F.broadcast(sample_ids(docs, labels)), "at").select("at", "th", "label", "text")
+    cut = met.mapInArrow(gather, "at long, th long, label int, one array<int>, two array<int>")
+    sample = cut.groupBy("at").agg(F.min(F.struct("th", "label", "one", "two")).alias("r")).select("at", "r.*").collect()
+    sample.sort(key=lambda r: r["at"])
     weights, intercept = fit([(r["label"], r["one"], r["two"]) for r in sample], len(kept))
     return Model(kept, weights, intercept)
 
