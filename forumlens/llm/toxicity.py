@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from forumlens.llm.text import words_of
+from forumlens.session import freeze
 
 FOLDS = 5
 PREFIXES = (3, 4, 5, 6)
@@ -158,7 +159,8 @@ def fit(rows: list[tuple[int, list[int], list[int]]], n: int, counterfactual: fl
 def train(docs: DataFrame, labels: DataFrame, pairs=IDENTITY_PAIRS) -> Model:
     whole = F.coalesce("text", F.lit("")).alias("text")
     sums = training_rows(docs.select("doc_id", whole), labels).select("text", "label").mapInArrow(_count, "bucket long, clean long, toxic long")
-    sums = sums.groupBy("bucket").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
+    # Read twice below: at most BUCKETS small rows, written so that the texts are counted once.
+    sums = freeze(sums.groupBy("bucket").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")), "counts")
     total = sums.filter("bucket = -1").first()
     n0, n1 = (total["clean"], total["toxic"]) if total else (0, 0)
     if not n0 or not n1:
