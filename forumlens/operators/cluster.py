@@ -15,6 +15,13 @@ def _neighbour_min(links: DataFrame) -> DataFrame:
     return links.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
 
 
+def _unfinished(links: DataFrame) -> DataFrame:
+    """Nodes linked to several others, or both linked to one and linked from one; none once all links are stars."""
+    ends = links.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionAll(
+        links.select("v", F.lit(0), F.lit(1)))
+    return ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down")).filter("up + down > 1 and up > 0")
+
+
 def components(distances: DataFrame, h: float) -> DataFrame:
     """Label of every group: the least group it is linked to by steps of at most ``h``.
 
@@ -43,12 +50,10 @@ def components(distances: DataFrame, h: float) -> DataFrame:
             large.join(least, "u").select(F.explode(F.array("u", "v")).alias("u"), F.col("m").alias("v"))
             .filter(F.col("u") != F.col("v")).distinct()
         )
-        fresh = freeze(small, "links")
-        same = fresh.join(links, ["u", "v"], "left_anti").isEmpty() and links.join(fresh, ["u", "v"], "left_anti").isEmpty()
-        links = fresh
-        if same:
+        links = freeze(small, "links")
+        if _unfinished(links).isEmpty():
             break
-    labels = links.groupBy(F.col("u").alias("group")).agg(F.min("v").alias("_least"))
+    labels = links.select(F.col("u").alias("group"), F.col("v").alias("_least"))
     return groups.join(labels, "group", "left").select("group", F.coalesce("_least", "group").alias("cluster"))
 
 
