@@ -88,9 +88,12 @@ def fold(doc_id: Column) -> Column:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Rows of ``docs`` outside the held-out fold that have a label, with ``label``."""
+    """Rows of ``docs`` outside the held-out fold that have a label, with ``label``.
+
+    Labels grow with the documents, so they are merged at every size and never broadcast.
+    """
     known = labels.filter(F.col("toxic").isNotNull()).groupBy(F.col("doc_id").alias("_id")).agg(F.max("toxic").cast("int").alias("label"))
-    return docs.filter(fold(F.col("doc_id")) != 0).join(known, F.col("doc_id") == F.col("_id")).drop("_id")
+    return docs.filter(fold(F.col("doc_id")) != 0).join(known.hint("merge"), F.col("doc_id") == F.col("_id")).drop("_id")
 
 
 def sample_ids(docs: DataFrame, labels: DataFrame) -> DataFrame:
