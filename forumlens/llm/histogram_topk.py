@@ -4,7 +4,8 @@ Vectors become integers and are packed into blocks.  The stated queries are pack
 block of candidates meets each block of queries of its dimension once per pass:
 
 1. each pass counts the scores of every query in ``BINS`` bins of its current range and sums the counts
-   over all blocks; the bin that holds the k-th score is the next range, until a bin is one integer;
+   over all blocks; the bin that holds the k-th score is the next range, until a bin is one integer.
+   Queries whose k-th score is known (width 0) rest while wider ones go on;
 2. the last pass returns what lies above the k-th score, and of the ties at it the k least ids of each
    block; ranks by (score, id) settle them.
 
@@ -117,8 +118,8 @@ def _ranges(batches):
 
 def _histograms(batches):
     for qids, _, scores, own, low, width in _blocks(batches):
-        bins = (scores - low[:, None]) // width[:, None]
-        fit = ~own & (bins >= 0) & (bins < BINS)
+        bins = (scores - low[:, None]) // np.maximum(width, 1)[:, None]
+        fit = ~own & (bins >= 0) & (bins < BINS) & (width > 0)[:, None]
         q, _ = np.nonzero(fit)
         counts = np.bincount(q * BINS + bins[fit], minlength=len(qids) * BINS)
         hit = np.flatnonzero(counts)
@@ -171,7 +172,7 @@ def _packed_state(members: DataFrame, state: DataFrame) -> DataFrame:
                      pa.array([pick("width")], pa.binary())], names=["dim", "q_block", "low", "width"])
 
     rows = members.join(state, "query_id", "left").select(
-        "dim", "q_block", F.struct("at", F.coalesce("low", F.lit(0)).alias("low"), F.coalesce("width", F.lit(1)).alias("width")).alias("r"))
+        "dim", "q_block", F.struct("at", F.coalesce("low", F.lit(0)).alias("low"), F.coalesce("width", F.lit(0)).alias("width")).alias("r"))
     return rows.groupBy("dim", "q_block").agg(F.collect_list("r").alias("rows")).mapInArrow(lay, kind)
 
 
@@ -202,19 +203,16 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     for power in reversed(range(6)):
         width = F.when(span <= BINS ** (power + 1), F.lit(BINS**power)).otherwise(width)
     state = freeze(spread.select("query_id", "low", width.cast("long").alias("width"), F.least("n", F.lit(k)).alias("need")), "ranges")
-    while True:
-        wide = state.agg(F.max("width")).first()[0]
+    while state.agg(F.max("width")).first()[0]:
         counts = _pass(blocks, asked, _packed_state(members, state), _histograms, "query_id long, bin long, n long")
         counts = counts.groupBy("query_id", "bin").agg(F.sum("n").alias("n"))
         down = Window.partitionBy("query_id").orderBy(F.col("bin").desc())
         upto = counts.withColumn("upto", F.sum("n").over(down.rowsBetween(Window.unboundedPreceding, 0)))
         at = upto.join(state, "query_id").filter((F.col("upto") >= F.col("need")) & (F.col("upto") - F.col("n") < F.col("need")))
-        state = freeze(at.select(
-            "query_id", (F.col("low") + F.col("bin") * F.col("width")).alias("low"),
-            F.greatest(F.expr(f"width div {BINS}"), F.lit(1)).alias("width"),
-            (F.col("need") - (F.col("upto") - F.col("n"))).alias("need")), "ranges")
-        if wide is None or wide == 1:
-            break
+        refined = at.select(
+            "query_id", (F.col("low") + F.col("bin") * F.col("width")).alias("low"), F.expr(f"width div {BINS}").alias("width"),
+            (F.col("need") - (F.col("upto") - F.col("n"))).alias("need"))
+        state = freeze(refined.unionByName(state.filter("width = 0")), "ranges")
     found = _pass(blocks, asked, _packed_state(members, state), _above(k), "query_id long, vec_id long, score long")
     found = found.join(state.select("query_id"), "query_id", "left_semi")
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")

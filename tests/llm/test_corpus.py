@@ -240,6 +240,23 @@ def test_top_k_equals_brute_force(spark):
 
 
 @needs_tables
+def test_top_k_of_very_different_spans_equals_brute_force(spark):
+    rng = np.random.default_rng(12)
+    vecs = rng.normal(size=(500, 8))
+    vecs *= (1 / np.linalg.norm(vecs, axis=1) * 10.0 ** rng.integers(-2, 4, 500))[:, None]
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(vecs)]
+    table = histogram_topk.integers(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    got = collections.defaultdict(list)
+    for r in sorted(histogram_topk.top_k(table, table.filter("vec_id < 40"), 20).collect(), key=lambda r: (r["query_id"], r["rank"])):
+        got[r["query_id"]].append((r["rank"], r["vec_id"], r["score"]))
+    whole = np.floor(vecs * histogram_topk.SCALE).astype(np.int64)
+    scores = whole[:40] @ whole.T
+    assert len({int(np.log2(s.max() - s.min()) // np.log2(histogram_topk.BINS)) for s in scores}) > 1  # numbers of passes differ
+    for q in range(40):
+        best = sorted((-int(scores[q, c]), c) for c in range(500) if c != q)[:20]
+        assert got[q] == [(n + 1, c, -s) for n, (s, c) in enumerate(best)]
+
+
 def test_toxicity_is_learned_and_ignores_identity(spark):
     data = "/root/testdata/sf0.01"
     frame, labels = (spark.read.parquet(f"{data}/{t}.parquet") for t in ("documents", "labels"))
