@@ -3,7 +3,8 @@
 A text becomes its sequence of five-word shingles; the n-th occurrence of a shingle carries the
 label n, so all labelled shingles of a text differ.  Each of ``SKETCHES`` random orders picks the
 ``TUPLE`` least labelled shingles and keeps them in text order: two texts agree on a sketch only if
-they share these shingles and their order.  Texts that agree on a sketch are candidates.  A candidate
+they share these shingles and their order.  A text that repeats shingles has the sketches of its first occurrences too,
+with the same keys: it also meets texts that have each shingle once.  Texts that agree on a sketch are candidates.  A candidate
 pair is verified by aligning its labelled shingles: as they are unique, the longest common
 subsequence is the longest rising chain of matched positions, searched only within the band that a
 pair of the wanted similarity cannot leave.  Similarity is aligned / (all - aligned), a Jaccard
@@ -194,7 +195,10 @@ def _sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             nodes.append(_fingerprint(hashes, text))
             ns.append(len(values))
             nds.append(int(first.sum()))
-            keys.append(sketch(values, marked).view(np.int64))
+            found = sketch(values, marked)
+            if not first.all():
+                found = np.unique(np.concatenate((found, sketch(values[first], marked[first]))))
+            keys.append(found.view(np.int64))
         offsets = np.cumsum([0] + [len(k) for k in keys]).astype(np.int32)
         flat = np.concatenate(keys) if keys else np.zeros(0, dtype=np.int64)
         yield pa.RecordBatch.from_arrays(

@@ -81,6 +81,16 @@ def test_near_duplicates_equal_brute_force(spark):
     assert sorted(kept) == sorted([i for i in range(len(texts)) if find(i) == i and texts[i] is not None] + [i for i, t in enumerate(texts) if t is None] * 2)
 
 
+def test_near_duplicates_of_different_repetition_equal_brute_force(spark):
+    texts = []
+    for k in range(12):  # the same shingles, in pairs 10 times and 40 times or once and 30 times
+        base = prose(100 + k, 40)
+        texts += [" ".join(base * n + base[:4]) for n in ((10, 40) if k % 2 else (1, 30))]
+    texts += [" ".join((prose(200, 40)) * 10), " ".join((prose(201, 40)) * 10)]
+    got = {r["doc_id"]: r["class_id"] for r in order_minhash.near_duplicates(docs(spark, texts)).collect()}
+    assert got == {i: i - i % 2 if i < 24 else i for i in range(26)}
+
+
 def test_order_matters_to_the_alignment():
     a = order_minhash.shingles(order_minhash.word_hashes(" ".join(prose(5, 200))))
     assert order_minhash.similarity(a, a) == 1
