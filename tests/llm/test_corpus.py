@@ -230,6 +230,26 @@ def test_main_text(html, want):
     assert html_blocks.main_text(html) == want
 
 
+BODY, CARD = "long text " * 30 + "end", "a card of some words"
+
+
+@pytest.mark.parametrize("html,want", [
+    (f"<main class='has-sidebar'><p>{BODY}</p></main>", BODY),
+    (f"<div class='content no-sidebar'><p>{BODY}</p></div>", BODY),
+    (f"<article class='post comments-open'><p>{BODY}</p></article>", BODY),
+    (f"<article class=widget><p>{BODY}</p></article>", BODY),
+    (f"<div class=widget><p>{BODY}</p></div><p>x</p>", BODY + "\n\nx"),
+    (f"<div class=modal><article><p>{BODY}</p></article></div><div><p>{CARD}</p></div>", BODY),
+    (f"<div><p>{BODY}</p></div>" + f"<article><p>{CARD}</p></article>" * 9, BODY),
+    (f"<article><p>{BODY}</p></article><div class='cookie-notice'><p>{BODY * 3}</p></div>", BODY),
+    (f"<article><p>{BODY}</p><article class=comment><p>{CARD}</p></article></article><div><p>{CARD}</p></div>", BODY),
+    (f"<p>{BODY}</p><div id=site-comments><p>{BODY * 5}</p></div>", BODY),
+    (f"<p>{BODY}</p>" + "<div class=ad>ad</div>" * 3 + "<p>short</p>" + "<div class=ad>ad</div>" * 3 + f"<p>{BODY}</p>", BODY + "\n\nshort\n\n" + BODY),
+])
+def test_main_text_of_other_pages(html, want):
+    assert html_blocks.main_text(html) == want
+
+
 def test_top_k_equals_brute_force(spark):
     rng = np.random.default_rng(3)
     vecs = rng.normal(size=(300, 8)).tolist()
