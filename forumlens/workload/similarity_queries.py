@@ -14,8 +14,10 @@ from forumlens.workload.registry import query
 
 # The caller's stop words.
 STOP = ["", "the", "of", "and", "in", "to", "is", "on", "der", "die", "de", "le", "und", "la"]
-VOCAB = {1: 40, 2: 20, 3: 10}
-WIDE = {1: 6, 2: 3, 3: 2}
+VOCAB = ng.VOCAB_SIZES
+COLUMNS = sum(VOCAB.values())
+# Grams a task of the profiles' product takes: its keys are some fifty, not the seven of the default.
+GRAM_PANEL = 128
 
 STOP_SQL = "[" + ", ".join(f"'{w}'" for w in STOP) + "]"
 WORDS = r"""words AS (SELECT id, subreddit, STRING_SPLIT(REGEXP_REPLACE(LOWER(REGEXP_REPLACE(text, '[^\x00-\x7F]', '', 'g')),
@@ -88,34 +90,35 @@ def ngram_stop_rules(t):
 
 
 query("ngram_df", f"WITH {WORDS}, {DF} SELECT * FROM df")(lambda t: ng.doc_freq(t.texts, STOP))
-query("ngram_vocab", f"WITH {WORDS}, {DF}, {vocab_sql(ng.VOCAB_SIZES)} SELECT * FROM voc")(
-    lambda t: vocabulary(t, ng.VOCAB_SIZES)
+query("ngram_vocab", f"WITH {WORDS}, {DF}, {vocab_sql(VOCAB)} SELECT * FROM voc")(
+    vocabulary
 )
 query("group_ngram_counts", f"{UP_TO_COUNTS} SELECT * FROM cnt")(counted)
 
 
 @query(
     "group_ngram_matrix",
-    f"""WITH {WORDS}, {DF}, {vocab_sql(WIDE)}, {COUNTS},
+    f"""WITH {WORDS}, {DF}, {vocab_sql(VOCAB)}, {COUNTS},
     cells AS (SELECT s.subreddit, v.rk, COALESCE(c.count, 0) AS count FROM (SELECT DISTINCT subreddit FROM texts) s
       CROSS JOIN (SELECT gram, n, ROW_NUMBER() OVER (ORDER BY n, count DESC, gram) AS rk FROM voc) v
       LEFT JOIN cnt c ON c.subreddit = s.subreddit AND c.gram = v.gram AND c.n = v.n)
-    SELECT subreddit, {', '.join(f'CAST(SUM(CASE WHEN rk = {k} THEN count END) AS BIGINT) AS gram_{k}' for k in range(1, 12))}
+    SELECT subreddit, {', '.join(f'CAST(SUM(CASE WHEN rk = {k} THEN count END) AS BIGINT) AS gram_{k}' for k in range(1, COLUMNS + 1))}
     FROM cells GROUP BY subreddit""",
 )
 def group_ngram_matrix(t):
     """The gram names depend on the data, so the columns are numbered for the comparison."""
-    voc = vocabulary(t, WIDE)
+    voc = vocabulary(t)
     names = ng.vocab_columns(voc)
     wide = ng.matrix(ng.group_counts(t.texts, voc), t.texts, names)
-    return wide.toDF("subreddit", *[f"gram_{k}" for k in range(1, len(names) + 1)])
+    missing = [F.lit(None).cast("bigint").alias(f"gram_{k}") for k in range(len(names) + 1, COLUMNS + 1)]
+    return wide.toDF("subreddit", *[f"gram_{k}" for k in range(1, len(names) + 1)]).select("*", *missing)
 
 
 query("gram_share", f"{UP_TO_COUNTS}, {SHARE} SELECT subreddit, gram, ROUND(share, 6) AS share FROM shr")(
     lambda t: rounded(ng.share(counted(t)), "share")
 )
 query("profile_similarity", f"{UP_TO_COUNTS}, {SHARE}, {DICE} SELECT i, j, ROUND(similarity, 6) AS similarity FROM dice")(
-    lambda t: rounded(sim.dice_pairs(ng.share(counted(t))), "similarity")
+    lambda t: rounded(sim.dice_pairs(ng.share(counted(t)), panel=GRAM_PANEL), "similarity")
 )
 
 # ---- membership similarity -------------------------------------------------------------------
@@ -215,7 +218,7 @@ TEXT_MEMBERS = 'm AS (SELECT DISTINCT subreddit AS "group", author_name AS membe
     FROM dice FULL JOIN jac USING (i, j)""",
 )
 def compound_distance(t):
-    grams = sim.distance(sim.dice_pairs(ng.share(counted(t))), "similarity")
+    grams = sim.distance(sim.dice_pairs(ng.share(counted(t)), panel=GRAM_PANEL), "similarity")
     people = sim.distance(sim.jaccard(sim.members(t.texts, member="author_name")), "jaccard")
     return rounded(sim.compound(grams, people), "distance")
 

@@ -74,3 +74,11 @@ def test_plans_have_no_cross_join_and_no_row_udf(spark, name):
 def test_top_n_is_trimmed_before_the_shuffle(spark):
     plan = QUERIES["top_n_per_user"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan and "Partial" in plan
+
+
+def test_gram_queries_cover_the_whole_vocabulary(spark):
+    grams = lambda name, *cols: {tuple(r) for r in QUERIES[name](spark, SF).select(*cols).collect()}
+    whole = grams("ngram_vocab", "n", "gram")
+    assert len(whole) == 7000
+    assert grams("group_ngram_counts", "n", "gram") == whole
+    assert grams("gram_share", "gram") == {(gram,) for _, gram in whole}
