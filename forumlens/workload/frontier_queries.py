@@ -117,11 +117,11 @@ def resample_members(t):
 @query(
     "groups_without_members",
     """SELECT DISTINCT subreddit FROM threads
-    WHERE subreddit NOT IN (SELECT subreddit FROM moderators WHERE pos >= 39
-      AND username IN (SELECT username FROM users_t1 WHERE is_mod))""",
+    WHERE subreddit NOT IN (SELECT subreddit FROM moderators
+      WHERE username IN (SELECT username FROM users_t1 WHERE is_mod))""",
 )
 def groups_without_members(t):
-    stored = t.moderators.filter("pos >= 39").join(t.users_t1.filter("is_mod"), "username", "left_semi")
+    stored = t.moderators.join(t.users_t1.filter("is_mod"), "username", "left_semi")
     return sel.missing_groups(t.threads.select("subreddit"), stored)
 
 

@@ -188,7 +188,7 @@ query(
 query("account_age", "SELECT username, EXTRACT(DAY FROM timestamp - account_created) AS account_age FROM users_t1")(
     lambda t: t.users_t1.select("username", prof.account_age().alias("account_age"))
 )
-GILDED = prof.ProfileOptions(gilded=True, historic_gildings=True, n_comment_groups=3, n_thread_groups=2, n_domains=2)
+GILDED = prof.ProfileOptions(gilded=True, historic_gildings=True)
 query("historic_gildings", compare_sql(True, True))(lambda t: prof.compare(t.users_t1, t.users_t2, GILDED))
 
 
@@ -214,7 +214,7 @@ def with_rounded_lengths(df):
     return rounded(df, *[c for c in df.columns if c.endswith("average_comment_length")])
 
 
-PLAIN = prof.ProfileOptions(n_comment_groups=3, n_thread_groups=3, n_domains=3)
+PLAIN = prof.ProfileOptions()
 
 
 @query("user_profile", profile_sql(GILDED))

@@ -485,9 +485,9 @@ def merge_traffic(t):
     """WITH o AS (SELECT author_name AS username, 'gold' AS award_name, 'old' AS subreddit_id, CAST(1 AS BIGINT) AS award_count
         FROM threads WHERE author_name IS NOT NULL GROUP BY author_name),
       n AS (SELECT author_name AS username, 'gold' AS award_name, 'new' AS subreddit_id, CAST(SUM(gold) AS BIGINT) AS award_count
-        FROM comments WHERE author_name IS NOT NULL GROUP BY author_name HAVING SUM(gold) > 2
+        FROM comments WHERE author_name IS NOT NULL GROUP BY author_name
         UNION ALL SELECT author_name, 'silver', 'new', CAST(SUM(silver) AS BIGINT) FROM comments
-        WHERE author_name IS NOT NULL GROUP BY author_name HAVING SUM(silver) > 2)
+        WHERE author_name IS NOT NULL GROUP BY author_name)
     SELECT username, award_name, COALESCE(o.subreddit_id, n.subreddit_id) AS subreddit_id,
       COALESCE(n.award_count, o.award_count) AS award_count FROM o FULL JOIN n USING (username, award_name)""",
 )
@@ -499,7 +499,7 @@ def upsert_award_counts(t):
     ).distinct()
     given = lambda metal: (
         t.comments.filter("author_name IS NOT NULL").groupBy(owner, F.lit(metal).alias("award_name"))
-        .agg(F.sum(metal).alias("award_count")).filter("award_count > 2")
+        .agg(F.sum(metal).alias("award_count"))
         .select("username", "award_name", F.lit("new").alias("subreddit_id"), "award_count")
     )
     source = given("gold").unionByName(given("silver"))

@@ -79,7 +79,7 @@ SELECT CONCAT('u', c_custkey) AS username,
 FROM {customer} WHERE c_mktsegment <> 'HOUSEHOLD'""",
     "moderators": """
 SELECT subreddit, author_name AS username, score AS pos
-FROM {comments} WHERE score >= 38 AND author_name IS NOT NULL""",
+FROM {comments} WHERE author_name IS NOT NULL""",
     "texts": """
 SELECT doc_id AS id, source AS subreddit,
   CASE WHEN doc_id % 40 = 0 THEN NULL ELSE CONCAT('u', doc_id % 40) END AS author_name, lang, text

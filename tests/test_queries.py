@@ -15,7 +15,7 @@ import __spark_entry__ as entry_points
 from check import canonical
 from forumlens.workload import QUERIES as REGISTERED
 from forumlens.workload import oracle_texts, runner
-from forumlens.workload.views import BASE_TABLES
+from forumlens.workload.views import BASE_TABLES, Tables
 
 SF = "/root/testdata/sf0.001"
 SAMPLE = [
@@ -82,3 +82,18 @@ def test_gram_queries_cover_the_whole_vocabulary(spark):
     assert len(whole) == 7000
     assert grams("group_ngram_counts", "n", "gram") == whole
     assert grams("gram_share", "gram") == {(gram,) for _, gram in whole}
+
+
+def test_membership_awards_and_profiles_are_whole(spark):
+    t = Tables(spark, SF)
+    pairs = lambda df, *cols: {tuple(r) for r in df.dropna(subset=list(cols)).select(*cols).collect()}
+    whole = pairs(t.comments, "subreddit", "author_name")
+    assert pairs(t.moderators, "subreddit", "username") == whole
+    assert pairs(QUERIES["drop_bots"](spark, SF), "subreddit", "username") == {p for p in whole if p[1] not in ("u7", "u13")}
+    awards = {(r["username"], r["award_name"]): r["award_count"] for r in QUERIES["upsert_award_counts"](spark, SF).collect()}
+    for r in t.comments.filter("author_name IS NOT NULL").groupBy("author_name").agg({"gold": "sum", "silver": "sum"}).collect():
+        assert (awards[r["author_name"], "gold"], awards[r["author_name"], "silver"]) == (r["sum(gold)"], r["sum(silver)"])
+    for name in ("user_profile", "profile_incremental"):
+        columns = QUERIES[name](spark, SF).columns
+        first = [c for c in columns if c.startswith(("subreddit_1_", "domain_1_"))]
+        assert first and all(c.replace("_1_", "_5_") in columns for c in first)
