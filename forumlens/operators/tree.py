@@ -16,7 +16,7 @@ from forumlens.operators.ranking import exact_rank
 from forumlens.operators.select import union_distinct
 from forumlens.session import freeze
 
-# Fixed value: depth of a full traversal.
+# Fixed value: depth of a full traversal, for callers who want that width.
 FULL_DEPTH = 30
 
 
@@ -81,9 +81,13 @@ def absolute_position(path: Column | str, width: int) -> Column:
     return F.concat(path, F.array_repeat(F.lit(-1), F.lit(width) - F.size(path)))
 
 
-def paths(nodes: DataFrame, order: list[Column] | None = None, width: int = FULL_DEPTH,
+def paths(nodes: DataFrame, order: list[Column] | None = None, width: int | None = None,
           thread: str = "thread_id") -> DataFrame:
+    """Padded positions; without a ``width`` to the deepest path found, with one without deeper nodes."""
     tree = expand(nodes, order, width, thread)
+    if width is None:
+        tree = freeze(tree, "tree")
+        width = tree.agg(F.max(F.size("path"))).first()[0] or 0
     return tree.select(thread, "id", "parent_id", absolute_position("path", width).alias("absolute_position"))
 
 

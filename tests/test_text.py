@@ -167,3 +167,10 @@ def test_absolute_position_golden(spark):
 def test_counters_count_ids_once(spark):
     data = [(1, 1, None, 0, 0, "a"), (1, 1, None, 0, 0, "a"), (1, 2, 1, 0, 0, None), (1, 2, 1, 0, 0, None)]
     assert rows(tree.counters(spark.createDataFrame(data, NODES))) == [(1, 2, 1)]
+
+
+def test_paths_without_a_width_keep_every_level(spark):
+    data = [(1, k, k - 1 if k else None) for k in range(40)]
+    frame = spark.createDataFrame(data, "thread_id long, id long, parent_id long").selectExpr("*", "0 AS score", "0 AS created")
+    got = {r["id"]: r["absolute_position"] for r in tree.paths(frame).collect()}
+    assert got == {k: [0] * (k + 1) + [-1] * (39 - k) for k in range(40)}
