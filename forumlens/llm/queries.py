@@ -6,9 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forumlens.llm import (
+    chunked_bpe,
     hash_ring,
+    hat_trie,
     histogram_topk,
     html_blocks,
+    importance,
     license_join,
     line_suffixes,
     order_minhash,
@@ -93,9 +96,27 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("th")
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best phrases of each language."""
+    return hat_trie.collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's weight and score towards the benchmark, and the rank of those drawn."""
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every document's ids and of the text they decode to."""
+    coded = chunked_bpe.decode(chunked_bpe.encode(table(spark, sf_dir, "documents"), ["doc_id"]))
+    return coded.select(
+        "doc_id", F.floor(F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_near_duplicates, op2_line_dedup, op3_license_scan, op4_sentencepiece, op5_sharding, op6_token_counts,
-    op7_html_text, op8_top_k, op9_toxicity, op10_decontamination)}
+    op7_html_text, op8_top_k, op9_toxicity, op10_decontamination, op11_collocations, op12_importance, op13_byte_bpe)}
 
 _FOLD = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = f"list_filter(regexp_split_to_array({_FOLD}, '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '')"
@@ -160,4 +181,53 @@ it AS (SELECT doc_id, list_sort(list(DISTINCT CAST(item_id AS VARCHAR))) AS item
 SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, CAST(coalesce(len(items), 0) AS BIGINT) AS n_items,
   sha256(coalesce(array_to_string(items, ','), '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
 FROM d LEFT JOIN pos USING (doc_id) LEFT JOIN it USING (doc_id)""",
+    "op11_collocations": f"""
+WITH p AS (SELECT doc_id, coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({_FOLD}, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents),
+q AS (SELECT lang, row_number() OVER () AS piece_id, list_filter(regexp_split_to_array(piece, '[ \\t]+'), lambda x: x <> '') AS ws FROM p),
+w AS (SELECT lang, piece_id, unnest(ws) AS word, unnest(range(len(ws))) AS i FROM q),
+r AS (SELECT lang, word AS w1, lead(word, 1) OVER o AS w2, lead(word, 2) OVER o AS w3 FROM w WINDOW o AS (PARTITION BY piece_id ORDER BY i)),
+one AS (SELECT lang, w1, count(*) AS f FROM r GROUP BY ALL),
+two AS (SELECT lang, w1, w2, count(*) AS f FROM r WHERE w2 IS NOT NULL GROUP BY ALL HAVING count(*) >= 10),
+three AS (SELECT lang, w1, w2, w3, count(*) AS f FROM r WHERE w3 IS NOT NULL GROUP BY ALL HAVING count(*) >= 10),
+total AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM one GROUP BY lang),
+cut AS (
+  SELECT two.lang, two.w1 || ' ' || w2 AS phrase, two.f AS a, 1 AS k, x.f AS l, y.f AS r FROM two
+  JOIN one x ON x.lang = two.lang AND x.w1 = two.w1 JOIN one y ON y.lang = two.lang AND y.w1 = two.w2
+  WHERE NOT EXISTS (SELECT 1 FROM three t WHERE t.lang = two.lang AND t.w1 = two.w1 AND t.w2 = two.w2 AND 100 * t.f >= 50 * two.f)
+    AND NOT EXISTS (SELECT 1 FROM three t WHERE t.lang = two.lang AND t.w2 = two.w1 AND t.w3 = two.w2 AND 100 * t.f >= 50 * two.f)
+  UNION ALL
+  SELECT t.lang, t.w1 || ' ' || t.w2 || ' ' || t.w3, t.f, 1, x.f, y.f FROM three t
+  JOIN one x ON x.lang = t.lang AND x.w1 = t.w1 JOIN two y ON y.lang = t.lang AND y.w1 = t.w2 AND y.w2 = t.w3
+  UNION ALL
+  SELECT t.lang, t.w1 || ' ' || t.w2 || ' ' || t.w3, t.f, 2, x.f, y.f FROM three t
+  JOIN two x ON x.lang = t.lang AND x.w1 = t.w1 AND x.w2 = t.w2 JOIN one y ON y.lang = t.lang AND y.w1 = t.w3),
+scored AS (SELECT *, CAST((1000000 * CAST(a AS HUGEINT) * a) // (CAST(l AS HUGEINT) * r) AS BIGINT) AS score FROM cut),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank, phrase, a, l, r, n, score
+FROM best JOIN total USING (lang) QUALIFY rank <= 2000""",
+    "op12_importance": f"""
+WITH both_ AS (SELECT doc_id AS id, 's' AS side, {_WORDS} AS ws FROM documents UNION ALL SELECT NULL, 't', {_WORDS} FROM benchmark),
+x AS (SELECT row_number() OVER () AS row_id, * FROM both_),
+w AS (SELECT row_id, side, unnest(ws) AS word, unnest(range(len(ws))) AS i FROM x),
+r AS (SELECT row_id, side, word, lead(word, 1) OVER o AS w2, lead(word, 2) OVER o AS w3 FROM w WINDOW o AS (PARTITION BY row_id ORDER BY i)),
+f AS (SELECT row_id, side, word AS feature FROM r UNION ALL SELECT row_id, side, word || ' ' || w2 FROM r WHERE w2 IS NOT NULL
+  UNION ALL SELECT row_id, side, word || ' ' || w2 || ' ' || w3 FROM r WHERE w3 IS NOT NULL),
+table_ AS (SELECT list(v ORDER BY b) AS v FROM (SELECT b, list_reduce(list_prepend(b, range(8)),
+  lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v FROM range(256) t(b))),
+names AS (SELECT feature, hex(encode(feature)) AS h FROM (SELECT DISTINCT feature FROM f)),
+hashed AS (SELECT feature, CAST(xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(range(len(h) // 2),
+    lambda k: CAST('0x' || h[2 * k + 1 : 2 * k + 2] AS BIGINT))), lambda c, y: xor(c >> 8, v[1 + (xor(c, y) & 255)])), 4294967295) AS BIGINT) % 10000 AS bucket
+  FROM names, table_),
+b AS (SELECT row_id, side, bucket, count(*) AS n FROM f JOIN hashed USING (feature) GROUP BY ALL),
+s AS (SELECT bucket, sum(n) AS s FROM b WHERE side = 's' GROUP BY bucket),
+t AS (SELECT bucket, sum(n) AS t FROM b WHERE side = 't' GROUP BY bucket),
+total AS (SELECT coalesce((SELECT sum(s) FROM s), 0) AS s_all, coalesce((SELECT sum(t) FROM t), 0) AS t_all),
+gain AS (SELECT bucket, CAST(floor(1000 * ln(CAST(coalesce(t, 0) + 1 AS DOUBLE) * (s_all + 10000) / (CAST(s + 1 AS DOUBLE) * (t_all + 10000)))) AS BIGINT) AS gain
+  FROM s LEFT JOIN t USING (bucket), total),
+weight AS (SELECT row_id, CAST(sum(n) AS BIGINT) AS n_features, CAST(sum(n * gain) AS BIGINT) AS weight FROM b JOIN gain USING (bucket) WHERE side = 's' GROUP BY row_id),
+d AS (SELECT id AS doc_id, len(ws) AS n_words, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+  coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || sha256('42:' || id)[1 : 8] AS BIGINT) + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score
+  FROM x LEFT JOIN weight USING (row_id) WHERE side = 's'),
+e AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () AS n FROM d WHERE n_words >= 20)
+SELECT d.doc_id, n_features, weight, score, CASE WHEN place <= 5 * n // 100 THEN place END AS rank FROM d LEFT JOIN e USING (doc_id)""",
 }
