@@ -6,9 +6,10 @@ containers of the remaining ids; a container beyond ``BURST`` entries bursts int
 entries the largest subtrees are spilled whole, each as a sorted run of rows (lang, words, count).  The runs of all tasks meet
 in the partition of their two-word prefix, where equal phrases are merged.
 
-Counting takes two readings.  The first counts single words and pairs.  A run of three words can only be frequent if both its
-pairs are, so the second counts just those runs whose pairs pass a filter of ``FILTER_BITS`` bits made from the frequent pairs.
-The filter has one size whatever the corpus; what it lets through wrongly is counted exactly and dropped by its count.
+Counting takes a reading for each length.  A run can only be frequent if the shorter runs in it are, so the second reading
+counts just the pairs of words that pass a filter of ``FILTER_BITS`` bits made from the frequent words, and the third the runs of three
+whose pairs pass one made from the frequent pairs.  A filter has one size whatever the corpus; what it lets through wrongly is
+counted exactly and dropped by its count.
 
 A candidate is a phrase of 2 or 3 words with at least ``least`` occurrences (a).  Each cut of it into a first part (l
 occurrences) and a rest (r) scores floor(1000000 a a / (l r)), in whole numbers of 38 digits; the lowest score counts, ties to
@@ -22,7 +23,8 @@ in blocks that end between pieces; only a single piece must fit into a task.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -57,36 +59,47 @@ BYTES = bytes(_byte(b) for b in range(256))
 
 
 class HatTrie:
-    """Counts of word runs; a run is three ids of ``WORD_BITS`` bits, 0 for no word."""
+    """Counts of word runs; a run is three ids of ``WORD_BITS`` bits, 0 for no word.
+
+    Below a first word stands a hash container of the rests of its runs or, once burst, a node: a container for each second word.
+    """
 
     def __init__(self, burst: int = BURST):
         self.burst = burst
-        self.root: dict[int, _Subtree] = {}
+        self.root: dict[int, dict[int, int] | _Node] = {}
         self.entries = 0
 
     def add(self, keys: np.ndarray, counts: np.ndarray) -> None:
-        """Adds the counts of distinct keys in ascending order."""
-        firsts = keys >> (2 * WORD_BITS)
-        rests = (keys & ((1 << 2 * WORD_BITS) - 1)).tolist()
-        starts = np.flatnonzero(np.r_[True, firsts[1:] != firsts[:-1]]) if len(keys) else np.zeros(0, np.int64)
-        ends = np.r_[starts[1:], len(keys)].tolist()
-        counts = counts.tolist()
-        for word, a, z in zip(firsts[starts].tolist(), starts.tolist(), ends):
-            tree = self.root.get(word)
-            if tree is None:
-                tree = self.root[word] = _Subtree()
-            self.entries += tree.add(rests[a:z], counts[a:z], self.burst)
+        """Adds the counts of distinct keys."""
+        root, new = self.root, 0
+        for word, rest, n in zip((keys >> (2 * WORD_BITS)).tolist(), (keys & ((1 << 2 * WORD_BITS) - 1)).tolist(), counts.tolist()):
+            box = root.get(word)
+            if box is None:
+                root[word] = {rest: n}
+                new += 1
+                continue
+            if type(box) is _Node:
+                box = box.setdefault(rest >> WORD_BITS, {})
+                rest &= _MASK
+            if rest in box:
+                box[rest] += n
+            else:
+                box[rest] = n
+                new += 1
+                if len(box) > self.burst and box is root[word]:
+                    root[word] = _burst(box)
+        self.entries += new
 
     def spill(self, keep: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Takes out whole subtrees, the largest first, until at most ``keep`` entries are left: keys and counts of each lot."""
+        size = {w: sum(map(len, box.values())) if type(box) is _Node else len(box) for w, box in self.root.items()}
         lot: list[int] = []
         held = 0
-        for word in sorted(self.root, key=lambda w: self.root[w].size, reverse=True):
+        for word in sorted(size, key=size.__getitem__, reverse=True):
             if self.entries <= keep:
                 break
             lot.append(word)
-            size = self.root[word].size
-            held, self.entries = held + size, self.entries - size
+            held, self.entries = held + size[word], self.entries - size[word]
             if held >= 1 << 17:
                 yield self._take(lot)
                 lot, held = [], 0
@@ -94,53 +107,27 @@ class HatTrie:
             yield self._take(lot)
 
     def _take(self, lot: list[int]) -> tuple[np.ndarray, np.ndarray]:
-        keys, counts = [], []
+        prefixes: list[int] = []
+        boxes: list[dict[int, int]] = []
         for word in lot:
-            for prefix, box in self.root.pop(word).containers():
-                keys.append(np.fromiter(box, np.int64, len(box)) | (word << (2 * WORD_BITS)) | (prefix << WORD_BITS))
-                counts.append(np.fromiter(box.values(), np.int64, len(box)))
-        return np.concatenate(keys), np.concatenate(counts)
-
-
-class _Subtree:
-    """All runs that begin with one word: one hash container, or, once burst, a node with a container for each second word."""
-
-    __slots__ = ("box", "node", "size")
-
-    def __init__(self):
-        self.box: dict[int, int] = {}
-        self.node: dict[int, dict[int, int]] | None = None
-        self.size = 0
-
-    def add(self, rests: list[int], counts: list[int], burst: int) -> int:
-        before = self.size
-        if self.node is None:
-            box = self.box
-            for k, n in zip(rests, counts):
-                box[k] = box.get(k, 0) + n
-            self.size = len(box)
-            if self.size > burst:
-                self.node, self.box = {}, {}
-                for k, n in box.items():
-                    self.node.setdefault(k >> WORD_BITS, {})[k & _MASK] = n
-        else:
-            node = self.node
-            for k, n in zip(rests, counts):
-                box = node.get(k >> WORD_BITS)
-                if box is None:
-                    box = node[k >> WORD_BITS] = {}
-                if (k & _MASK) in box:
-                    box[k & _MASK] += n
-                else:
-                    box[k & _MASK] = n
-                    self.size += 1
-        return self.size - before
-
-    def containers(self) -> Iterator[tuple[int, dict[int, int]]]:
-        if self.node is None:
-            yield 0, self.box
-        else:
-            yield from self.node.items()
+            box = self.root.pop(word)
+            for second, part in box.items() if type(box) is _Node else ((0, box),):
+                prefixes.append((word << (2 * WORD_BITS)) | (second << WORD_BITS))
+                boxes.append(part)
+        rests = np.fromiter(chain.from_iterable(boxes), np.int64)
+        counts = np.fromiter(chain.from_iterable(b.values() for b in boxes), np.int64, len(rests))
+        return np.repeat(np.array(prefixes, dtype=np.int64), [len(b) for b in boxes]) | rests, counts
+
+
+class _Node(dict[int, dict[int, int]]):
+    """A burst container."""
+
+
+def _burst(box: dict[int, int]) -> _Node:
+    node = _Node()
+    for rest, n in box.items():
+        node.setdefault(rest >> WORD_BITS, {})[rest & _MASK] = n
+    return node
 
 
 def _pair_hash(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -158,29 +145,48 @@ def _word_hash(lang: str, word: bytes) -> int:
     return xxhash.xxh64_intdigest(lang.encode() + b" " + word)
 
 
+def _passes(h: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    out = np.ones(len(h), dtype=bool)
+    for at in _bit_places(h, 8 * len(bits)):
+        out &= (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
+    return out
+
+
 class _Reader:
-    """Words of one task's texts as ids, and the trie they are counted in."""
+    """Words of one task's texts as ids, and the trie that runs of ``length`` of them are counted in.
 
-    def __init__(self, pairs: np.ndarray | None, entries: int, burst: int):
-        self.pairs = pairs
+    A word that the filter rules out has id 0, which no run goes through.
+    """
+
+    def __init__(self, length: int, bits: np.ndarray | None, entries: int, burst: int):
+        self.length = length
+        self.bits = bits
         self.limit = entries
         self.trie = HatTrie(burst)
-        self.ids: dict[tuple[str, bytes], int] = {}
+        self.forget()
+
+    def forget(self) -> None:
+        self.ids: dict[str, dict[bytes, int]] = {}
         self.names: list[tuple[str, bytes]] = [("", b"")]
         self.hashes: list[int] = [0]
+        self.singles = np.zeros(0, dtype=np.int64)  # occurrences of each word, the nodes' own counts
         self.totals: dict[str, int] = {}
 
     def _number(self, lang: str, words: list[bytes]) -> np.ndarray:
-        out = np.empty(len(words), dtype=np.int64)
-        for k, w in enumerate(words):
-            number = self.ids.get((lang, w))
-            if number is None:
-                number = self.ids[lang, w] = len(self.names)
-                self.names.append((lang, w))
-                if self.pairs is not None:
-                    self.hashes.append(_word_hash(lang, w))
-            out[k] = number
-        return out
+        ids = self.ids.setdefault(lang, {})
+        out = list(map(ids.get, words))
+        new = [k for k, number in enumerate(out) if number is None]
+        hashes = [_word_hash(lang, words[k]) for k in new] if self.length > 1 else []
+        fit = _passes(np.array(hashes, dtype=np.uint64), self.bits).tolist() if self.length == 2 else [True] * len(new)
+        for j, k in enumerate(new):
+            if not fit[j]:
+                out[k] = ids[words[k]] = 0
+                continue
+            out[k] = ids[words[k]] = len(self.names)
+            self.names.append((lang, words[k]))
+            if self.length == 3:
+                self.hashes.append(hashes[j])
+        return np.array(out, dtype=np.int64)
 
     def read(self, lang: str, block: bytes) -> Iterator[pa.RecordBatch]:
         """Counts one block of folded text; yields what has to be spilled."""
@@ -197,38 +203,39 @@ class _Reader:
         codes = self._number(lang, words.dictionary.to_pylist())[words.indices.to_numpy()]
         breaks = np.flatnonzero(raw == _BREAK)
         piece = np.searchsorted(breaks, starts)
-        self.totals[lang] = self.totals.get(lang, 0) + len(codes)
-        for keys in self._runs(codes, piece):
-            if len(keys):
-                self.trie.add(*np.unique(keys, return_counts=True))
-            if self.trie.entries > self.limit:
-                yield from self._write(self.trie.spill(self.limit // 2))
-
-    def _runs(self, ids: np.ndarray, piece: np.ndarray) -> Iterator[np.ndarray]:
-        two = piece[1:] == piece[:-1]
-        if self.pairs is None:
-            yield ids << (2 * WORD_BITS)
-            yield (ids[:-1][two] << (2 * WORD_BITS)) | (ids[1:][two] << WORD_BITS)
+        if self.length == 1:
+            self.totals[lang] = self.totals.get(lang, 0) + len(codes)
+            more = np.bincount(codes, minlength=len(self.names))
+            more[: len(self.singles)] += self.singles
+            self.singles = more
             return
+        keys = self._runs(codes, piece)
+        if len(keys):
+            self.trie.add(*np.unique(keys, return_counts=True))
+        if self.trie.entries > self.limit:
+            yield from self._write(self.trie.spill(self.limit // 2))
+
+    def _runs(self, ids: np.ndarray, piece: np.ndarray) -> np.ndarray:
+        two = (piece[1:] == piece[:-1]) & (ids[1:] > 0) & (ids[:-1] > 0)
+        if self.length == 2:
+            return (ids[:-1][two] << (2 * WORD_BITS)) | (ids[1:][two] << WORD_BITS)
         h = np.array(self.hashes, dtype=np.uint64)[ids]
-        one, other = _bit_places(_pair_hash(h[:-1], h[1:]), 8 * len(self.pairs))
-        for at in (one, other):
-            two &= (self.pairs[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
+        two[two] = _passes(_pair_hash(h[:-1][two], h[1:][two]), self.bits)
         three = np.flatnonzero(two[:-1] & two[1:])
-        yield (ids[three] << (2 * WORD_BITS)) | (ids[three + 1] << WORD_BITS) | ids[three + 2]
+        return (ids[three] << (2 * WORD_BITS)) | (ids[three + 1] << WORD_BITS) | ids[three + 2]
 
-    def _write(self, lots: Iterator[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+    def _write(self, lots: Iterable[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
         """Each lot as a run of rows sorted by language and words."""
         for keys, counts in lots:
             parts = [keys >> (2 * WORD_BITS), (keys >> WORD_BITS) & _MASK, keys & _MASK]
-            used = np.unique(np.concatenate(parts))
-            order = sorted(used.tolist(), key=self.names.__getitem__)
+            used = np.flatnonzero(np.bincount(np.concatenate(parts), minlength=1)).tolist()
+            order = sorted(used, key=self.names.__getitem__)
             rank = np.zeros(len(self.names), dtype=np.int64)
             rank[order] = np.arange(len(order))
             parts = [rank[p] for p in parts]
-            sort = np.lexsort(parts[::-1])
+            sort = np.argsort((parts[0] << (2 * WORD_BITS)) | (parts[1] << WORD_BITS) | parts[2])
             langs = pa.array([self.names[i][0] for i in order], pa.string())
-            words = pa.array([self.names[i][1].decode() if i else None for i in order], pa.string())
+            words = pa.array([self.names[i][1] if i else None for i in order], pa.binary()).cast(pa.string())
             for at in range(0, len(sort), 1 << 16):
                 some = sort[at : at + (1 << 16)]
                 yield pa.RecordBatch.from_arrays(
@@ -238,11 +245,14 @@ class _Reader:
     def flush(self) -> Iterator[pa.RecordBatch]:
         """Spills everything and forgets the words."""
         yield from self._write(self.trie.spill(0))
-        if self.pairs is None:
-            for lang, n in self.totals.items():
-                yield pa.RecordBatch.from_pylist([{"lang": lang, "n": n}], schema=pa.schema(
-                    [("lang", pa.string()), *((w, pa.string()) for w in ("w1", "w2", "w3")), ("n", pa.int64())]))
-        self.ids, self.names, self.hashes, self.totals = {}, [("", b"")], [0], {}
+        met = np.flatnonzero(self.singles)
+        for at in range(0, len(met), 1 << 16):
+            some = met[at : at + (1 << 16)]
+            yield from self._write([(some << (2 * WORD_BITS), self.singles[some])])
+        for lang, n in self.totals.items():
+            yield pa.RecordBatch.from_pylist([{"lang": lang, "n": n}], schema=pa.schema(
+                [("lang", pa.string()), *((w, pa.string()) for w in ("w1", "w2", "w3")), ("n", pa.int64())]))
+        self.forget()
 
 
 def _blocks(texts: list[str]) -> Iterator[bytes]:
@@ -257,12 +267,12 @@ def _blocks(texts: list[str]) -> Iterator[bytes]:
         at = end
 
 
-def runs(docs: DataFrame, pairs: np.ndarray | None = None, entries: int = ENTRIES, burst: int = BURST) -> DataFrame:
-    """Spilled runs of all tasks: single words, pairs and a row without words for the total; with ``pairs``, runs of three."""
-    shared = None if pairs is None else docs.sparkSession.sparkContext.broadcast(pairs)
+def runs(docs: DataFrame, length: int, bits: np.ndarray | None = None, entries: int = ENTRIES, burst: int = BURST) -> DataFrame:
+    """Spilled runs of all tasks; for single words, also a row without words for the total of a language."""
+    shared = None if bits is None else docs.sparkSession.sparkContext.broadcast(bits)  # one size whatever the corpus
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = _Reader(None if shared is None else shared.value, entries, burst)
+        reader = _Reader(length, None if shared is None else shared.value, entries, burst)
         for batch in batches:
             by_lang: dict[str, list[str]] = {}
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -282,22 +292,22 @@ def merged(spilled: DataFrame, least: int) -> DataFrame:
     return placed.groupBy("lang", "w1", "w2", "w3").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
 
 
-def pair_filter(pairs: DataFrame, n_bits: int = FILTER_BITS) -> np.ndarray:
-    """Bits of all pairs (lang, w1, w2): ``n_bits`` bits, however many the pairs are."""
+def filter_of(phrases: DataFrame, n_bits: int = FILTER_BITS) -> np.ndarray:
+    """Bits of all rows (lang, w1, and w2 for pairs): ``n_bits`` bits, however many the rows are."""
 
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            langs, first, second = (batch.column(k).to_pylist() for k in range(3))
-            hashes = [np.array([_word_hash(g, w.encode()) for g, w in zip(langs, ws)], dtype=np.uint64) for ws in (first, second)]
-            at = np.concatenate(_bit_places(_pair_hash(*hashes), n_bits))
-            cell, where = np.unique(at >> 5, return_inverse=True)
+            langs, *words = (column.to_pylist() for column in batch.columns)
+            hashes = [np.array([_word_hash(g, w.encode()) for g, w in zip(langs, ws)], dtype=np.uint64) for ws in words]
+            at = np.concatenate(_bit_places(hashes[0] if len(hashes) == 1 else _pair_hash(*hashes), n_bits))
+            cell, where = np.unique(at >> 6, return_inverse=True)
             bits = np.zeros(len(cell), dtype=np.int64)
-            np.bitwise_or.at(bits, where, np.int64(1) << (at & 31))
+            np.bitwise_or.at(bits, where, np.int64(1) << (at & 63))
             yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(bits)], names=["cell", "bits"])
 
-    rows = pairs.select("lang", "w1", "w2").mapInArrow(places, "cell long, bits long").groupBy("cell").agg(F.bit_or("bits").alias("bits"))
-    out = np.zeros(n_bits // 32, dtype="<u4")
-    got = rows.toArrow()  # at most n_bits / 32 rows
+    rows = phrases.mapInArrow(places, "cell long, bits long").groupBy("cell").agg(F.bit_or("bits").alias("bits"))
+    out = np.zeros(n_bits // 64, dtype="<i8")
+    got = rows.toArrow()  # at most n_bits / 64 rows
     out[got.column("cell").to_numpy()] = got.column("bits").to_numpy()
     return out.view(np.uint8)
 
@@ -310,11 +320,13 @@ def _score(l: str, r: str) -> Column:
 
 def collocations(docs: DataFrame, least: int = LEAST, first: int = FIRST, n_bits: int = FILTER_BITS, **trie: int) -> DataFrame:
     """The ``first`` best phrases of each language: lang, rank, phrase, a, l, r, n, score."""
-    short = freeze(merged(runs(docs, **trie), least), "short_phrases")
-    total = short.filter(F.col("w1").isNull()).select("lang", F.col("n").alias("total"))
-    single = short.filter(F.col("w1").isNotNull() & F.col("w2").isNull()).select("lang", "w1", F.col("n").alias("f"))
-    pairs = short.filter(F.col("w2").isNotNull()).select("lang", "w1", "w2", F.col("n").alias("a"))
-    triples = freeze(merged(runs(docs, pair_filter(pairs, n_bits), **trie), least), "long_phrases")
+    words = freeze(merged(runs(docs, 1, **trie), least), "words")
+    total = words.filter(F.col("w1").isNull()).select("lang", F.col("n").alias("total"))
+    single = words.filter(F.col("w1").isNotNull()).select("lang", "w1", F.col("n").alias("f"))
+    bits = filter_of(single.select("lang", "w1"), n_bits)
+    pairs = freeze(merged(runs(docs, 2, bits, **trie), least).select("lang", "w1", "w2", F.col("n").alias("a")), "frequent_pairs")
+    bits = filter_of(pairs.select("lang", "w1", "w2"), n_bits)
+    triples = freeze(merged(runs(docs, 3, bits, **trie), least), "triples")
 
     # Pairs with the occurrences of both words.
     pairs = freeze(
@@ -327,7 +339,7 @@ def collocations(docs: DataFrame, least: int = LEAST, first: int = FIRST, n_bits
         triples.withColumnRenamed("n", "a").join(head, ["lang", "w1", "w2"]).join(tail, ["lang", "w2", "w3"])
         .withColumn("s1", _score("l1", "r1")).withColumn("s2", _score("l2", "r2"))
         .withColumn("cut", F.when(F.col("s1") <= F.col("s2"), 1).otherwise(2))
-        .select("lang", "w1", "w2", "w3", "a", *(F.when(F.col("cut") == 1, F.col(f"{c}1")).otherwise(F.col(f"{c}2")).alias(c) for c in "lrs")), "triples")
+        .select("lang", "w1", "w2", "w3", "a", *(F.when(F.col("cut") == 1, F.col(f"{c}1")).otherwise(F.col(f"{c}2")).alias(c) for c in "lrs")), "scored_triples")
 
     # The most frequent longer candidate around each pair.
     around = (

@@ -87,7 +87,7 @@ def test_trie_bursts_and_spills_whole_subtrees():
     keys = sorted({(rng.randrange(1, 4) << 42) | (rng.randrange(1, 9) << 21) | rng.randrange(9) for _ in range(300)})
     for part in (keys[::2], keys[1::2], keys):
         trie.add(np.array(part, dtype=np.int64), np.ones(len(part), dtype=np.int64))
-    assert trie.entries == len(keys) and any(t.node is not None for t in trie.root.values())
+    assert trie.entries == len(keys) and any(isinstance(t, hat_trie._Node) for t in trie.root.values())
     spilled = [dict(zip(k.tolist(), n.tolist())) for k, n in trie.spill(len(keys) // 2)]
     assert trie.entries <= len(keys) // 2
     gone = {k >> 42 for part in spilled for k in part}
