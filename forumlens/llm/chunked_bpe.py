@@ -1,7 +1,9 @@
 """Byte-level BPE encoding that encodes content-defined chunks once, and decoding.
 
 Texts are cut where a rolling hash of the last 32 bytes meets a fixed pattern, so equal passages of different documents
-mostly fall into equal chunks, wherever they stand.  Chunks meet by their digest; each distinct chunk is encoded once and its
+mostly fall into equal chunks, wherever they stand.  A first reading counts the chunks' hashes; hashes met more than once make a bit
+filter sized by their number, up to ``FILTER_BITS``.  A document without such a chunk shares nothing and is encoded where it is read.  The
+chunks of all others (a filter that errs only adds documents) meet by their digest; each distinct chunk is encoded once and its
 ids go back to all places it was met at.  There the ids of a document's chunks are joined: what a chunk says near its ends may be wrong,
 as words and blanks may run on, so from the last place known to be right the text is encoded anew over the join until its words
 begin where the next chunk's do.  From that place on the chunk's ids are exact, as a word depends on nothing before its start.
@@ -27,13 +29,18 @@ import json
 import os
 import re
 import unicodedata
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from forumlens.session import freeze
+
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
 # Chunks: at least LEAST bytes, 1 / 2 ** BITS of the places after that end one, at most MOST bytes (and the rest of a character).
 LEAST, BITS, MOST = 128, 9, 8192
@@ -42,8 +49,13 @@ HOT = 64
 HEADS = 4
 # A word whose end is this many characters from the end of the known text can't change any more: "'ll" looks furthest.
 SETTLED = 3
-MEMO = 150_000
+# Words longer than this many bytes merge by a queue, and are not remembered; remembered words; chunks whose text was sent;
+# hashes counted before they are passed on.
+SHORT = 64
+MEMO = 250_000
 SENT = 100_000
+COUNTED = 200_000
+FILTER_BITS = 1 << 28
 
 _GEAR = np.frombuffer(b"".join(hashlib.blake2b(bytes([b]), digest_size=4).digest() for b in range(256)), dtype="<u4")
 
@@ -86,19 +98,27 @@ def _byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(others)}
 
 
-def _classes(pre_tokenizer) -> list[str]:
-    """Letters, digits and blanks as the library sees them, as ranges of a character class."""
-    likely = [chr(c) for c in range(0x110000) if unicodedata.category(chr(c))[0] in "LNZ" or chr(c).isspace() or 0x1C <= c <= 0x1F]
-    found: list[list[str]] = []
+# The public pattern of words of this kind of vocabulary, by Unicode class.
+WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
+
+def _classes(pre_tokenizer) -> tuple[list[str], str]:
+    """Letters, digits and blanks as the library sees them, as ranges of a character class, and the characters that ``regex``
+    has in another class."""
+    everything = "".join(chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000)
+    ours = [set(regex.findall(c, everything)) for c in (r"\p{L}", r"\p{N}", r"\s")]
+    named = {c for c in everything if unicodedata.category(c)[0] in "LNZ" or c.isspace()}
+    likely = sorted(named.union(*ours))
+    theirs: list[set[str]] = []
     for before in "a1":  # a character of the same kind is no start of its own after it
         text = "".join(f"{before}{c}\x00" for c in likely)
         starts = {span[0] for _, span in pre_tokenizer.pre_tokenize_str(text)}
-        found.append([c for k, c in enumerate(likely) if 3 * k + 1 not in starts])
+        theirs.append({c for k, c in enumerate(likely) if 3 * k + 1 not in starts})
     text = "".join(f"!{c}\x00" for c in likely)
     starts = {span[0] for _, span in pre_tokenizer.pre_tokenize_str(text)}
-    known = {*found[0], *found[1]}
-    found.append([c for k, c in enumerate(likely) if 3 * k + 1 in starts and c not in known])
-    return [_ranges(sorted(map(ord, chars))) for chars in found]
+    theirs.append({c for k, c in enumerate(likely) if 3 * k + 1 in starts} - theirs[0] - theirs[1])
+    other = set().union(*(a ^ b for a, b in zip(ours, theirs)))
+    return [_ranges(sorted(map(ord, chars))) for chars in theirs], _ranges(sorted(map(ord, other)))
 
 
 def _ranges(codes: list[int]) -> str:
@@ -126,31 +146,37 @@ class Tokenizer:
         self.byte_ids = [0] * 256
         for c, b in letters.items():
             self.byte_ids[b] = vocabulary[c]
-        self.merges: dict[tuple[int, int], tuple[int, int]] = {}
+        # Pair of ids (left in the high half) to rank (high half) and new id.
+        self.merges: dict[int, int] = {}
         for rank, pair in enumerate(stated["model"]["merges"]):
             left, right = pair.split(" ") if isinstance(pair, str) else pair
-            self.merges.setdefault((vocabulary[left], vocabulary[right]), (rank, vocabulary[left + right]))
+            self.merges.setdefault(vocabulary[left] << 32 | vocabulary[right], rank << 32 | vocabulary[left + right])
         self.pieces = [b""] * (max([*vocabulary.values(), *special.values()]) + 1)
         for piece, i in vocabulary.items():
             self.pieces[i] = as_bytes(piece)
         for content, i in special.items():
             self.pieces[i] = content.encode()
-        self.kind = "<u2" if len(self.pieces) <= 1 << 16 else "<u4"
+        self.kind, self.code = ("<u2", "H") if len(self.pieces) <= 1 << 16 else ("<u4", "I")
         self.special = {content: np.array([i], dtype=self.kind).tobytes() for content, i in special.items() if content}
-        letter, digit, blank = _classes(Library.from_file(path).pre_tokenizer)
-        # The public pattern of words of this vocabulary.
+        (letter, digit, blank), self.other = _classes(Library.from_file(path).pre_tokenizer)
         self.pattern = (rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{letter}]+| ?[{digit}]+| ?[^{blank}{letter}{digit}]+"
                         rf"|[{blank}]+(?![^{blank}])|[{blank}]+")
         self.ready()
 
     def ready(self) -> None:
-        self.words = re.compile(self.pattern).findall
+        # The pattern by Unicode class is faster; texts with a character that the library classes otherwise take that by ranges.
+        self.plain = regex.compile(WORDS).findall
+        self.exact = re.compile(self.pattern).findall
+        self.doubtful = re.compile(f"[{self.other}]").search if self.other else lambda text: None
         self.cut_special = re.compile("|".join(map(re.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
         self.memo: dict[str, bytes] = {}
 
+    def words(self, text: str) -> list[str]:
+        return self.exact(text) if self.doubtful(text) else self.plain(text)
+
     def state(self) -> dict:
         """Plain values to make the same tokenizer of elsewhere."""
-        return {k: v for k, v in self.__dict__.items() if k not in ("words", "cut_special", "memo")}
+        return {k: v for k, v in self.__dict__.items() if k not in ("plain", "exact", "doubtful", "cut_special", "memo")}
 
     @classmethod
     def of(cls, state: dict) -> Tokenizer:
@@ -163,34 +189,53 @@ class Tokenizer:
         """Ids of one word, as bytes of ``kind``: adjacent pieces merge by rank, the leftmost first."""
         ids = self.memo.get(word)
         if ids is None:
-            if len(self.memo) >= MEMO:
-                self.memo.clear()
-            ids = np.array(self._merged([self.byte_ids[b] for b in word.encode()]), dtype=self.kind).tobytes()
-            if len(word) <= 64:
+            raw = word.encode()
+            short = len(raw) <= SHORT
+            ids = array(self.code, (self._merged if short else self._merged_long)([self.byte_ids[b] for b in raw])).tobytes()
+            if short:
+                if len(self.memo) >= MEMO:
+                    self.memo.clear()
                 self.memo[word] = ids
         return ids
 
     def _merged(self, ids: list[int]) -> list[int]:
-        merges, n = self.merges, len(ids)
-        if n < 2:
-            return ids
+        found = self.merges.get
+        none = 1 << 62
+        pairs = [found(a << 32 | b, none) for a, b in zip(ids, ids[1:])]
+        while pairs:
+            least = min(pairs)
+            if least == none:
+                break
+            k = pairs.index(least)
+            ids[k] = least & 0xFFFFFFFF
+            del ids[k + 1], pairs[k]
+            if k < len(pairs):
+                pairs[k] = found(ids[k] << 32 | ids[k + 1], none)
+            if k:
+                pairs[k - 1] = found(ids[k - 1] << 32 | ids[k], none)
+        return ids
+
+    def _merged_long(self, ids: list[int]) -> list[int]:
+        found, n = self.merges.get, len(ids)
         before, after = list(range(-1, n - 1)), [*range(1, n), -1]
-        queue = [(*m, k) for k in range(n - 1) if (m := merges.get((ids[k], ids[k + 1])))]
-        queue = [(rank, k, new) for rank, new, k in queue]
+        queue = [(m >> 32, k) for k in range(n - 1) if (m := found(ids[k] << 32 | ids[k + 1])) is not None]
         heapq.heapify(queue)
         while queue:
-            rank, k, new = heapq.heappop(queue)
+            rank, k = heapq.heappop(queue)
             right = after[k]
-            if ids[k] < 0 or right < 0 or merges.get((ids[k], ids[right]), (-1,))[0] != rank:
+            if ids[k] < 0 or right < 0:
                 continue
-            ids[k], ids[right] = new, -1
+            m = found(ids[k] << 32 | ids[right])
+            if m is None or m >> 32 != rank:
+                continue
+            ids[k], ids[right] = m & 0xFFFFFFFF, -1
             after[k] = after[right]
             if after[k] >= 0:
                 before[after[k]] = k
-                if m := merges.get((new, ids[after[k]])):
-                    heapq.heappush(queue, (m[0], k, m[1]))
-            if before[k] >= 0 and (m := merges.get((ids[before[k]], new))):
-                heapq.heappush(queue, (m[0], before[k], m[1]))
+                if (m := found(ids[k] << 32 | ids[after[k]])) is not None:
+                    heapq.heappush(queue, (m >> 32, k))
+            if before[k] >= 0 and (m := found(ids[before[k]] << 32 | ids[k])) is not None:
+                heapq.heappush(queue, (m >> 32, before[k]))
         return [i for i in ids if i >= 0]
 
     def encode(self, text: str) -> bytes:
@@ -288,34 +333,128 @@ def _sections(tokenizer: Tokenizer, text: str) -> Iterator[tuple[int, str]]:
         yield 1, text[at:]
 
 
+def _chunks_of(tokenizer: Tokenizer, text: str) -> Iterator[tuple[int, int, bytes]]:
+    """Chunks in order: the number of its stretch, whether it is plain text, and its bytes."""
+    for number, (plain, section) in enumerate(_sections(tokenizer, text)):
+        raw = section.encode()
+        start = 0
+        for end in ends_of_chunks(raw) if plain else [len(raw)]:
+            yield number, plain, raw[start:end]
+            start = end
+
+
+def _bits_of(hashes: np.ndarray, n_bits: int) -> tuple[np.ndarray, np.ndarray]:
+    return (hashes % np.uint64(n_bits)).astype(np.int64), ((hashes >> np.uint64(32)) * np.uint64(31) % np.uint64(n_bits)).astype(np.int64)
+
+
+def _shared(bits: np.ndarray, parts: list[bytes]) -> bool:
+    """Whether any of the chunks may stand elsewhere too."""
+    hashes = np.array([xxhash.xxh64_intdigest(p) for p in parts], dtype=np.uint64)
+    one, other = _bits_of(hashes, 8 * len(bits))
+    return bool(((bits[one >> 3] >> (one & 7).astype(np.uint8)) & (bits[other >> 3] >> (other & 7).astype(np.uint8)) & 1).any())
+
+
+def shared_chunks(docs: DataFrame, text: str, tokenizer, most_bits: int = FILTER_BITS) -> np.ndarray:
+    """Filter of the chunks that stand in more than one place: 8 bits for each, ``most_bits`` at most."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        t = Tokenizer.of(tokenizer.value)
+        counts: dict[int, int] = {}
+
+        def out() -> pa.RecordBatch:
+            hashes = np.fromiter(counts, np.uint64, len(counts)).view(np.int64)
+            return pa.RecordBatch.from_arrays([pa.array(hashes), pa.array(list(counts.values()), pa.int64())], names=["h", "n"])
+
+        for batch in batches:
+            for content in batch.column(0).to_pylist():
+                for _, plain, part in _chunks_of(t, content or ""):
+                    if plain:
+                        h = xxhash.xxh64_intdigest(part)
+                        counts[h] = counts.get(h, 0) + 1
+                if len(counts) >= COUNTED:
+                    yield out()
+                    counts.clear()
+        yield out()
+
+    met = docs.select(text).mapInArrow(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+    met = freeze(met.filter(F.col("n") > 1).select("h"), "shared_chunks")
+    n_bits = 1 << min(most_bits.bit_length() - 1, max(10, (8 * met.count()).bit_length()))
+
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = np.concatenate(_bits_of(batch.column(0).to_numpy().view(np.uint64), n_bits))
+            cell, where = np.unique(at >> 6, return_inverse=True)
+            bits = np.zeros(len(cell), dtype=np.int64)
+            np.bitwise_or.at(bits, where, np.int64(1) << (at & 63))
+            yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(bits)], names=["cell", "bits"])
+
+    got = met.mapInArrow(places, "cell long, bits long").groupBy("cell").agg(F.bit_or("bits").alias("bits")).toArrow()  # n_bits / 64 rows at most
+    out = np.zeros(n_bits // 64, dtype="<i8")
+    out[got.column("cell").to_numpy()] = got.column("bits").to_numpy()
+    return out.view(np.uint8)
+
+
+def _alone(read: DataFrame, bits, tokenizer) -> DataFrame:
+    """Ids of the rows that share no chunk, encoded where they are read."""
+    n_keys = len(read.columns) - 2
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        t, filter_ = Tokenizer.of(tokenizer.value), bits.value
+        for batch in batches:
+            rows: list[int] = []
+            ids: list[bytes] = []
+            size = 0
+            for k, content in enumerate(batch.column(1).to_pylist()):
+                parts = [p for _, plain, p in _chunks_of(t, content) if plain]
+                if parts and _shared(filter_, parts):
+                    continue
+                rows.append(k)
+                coded = b"".join([t.encode(s) if plain else t.special[s] for plain, s in _sections(t, content)])
+                ids.append(np.frombuffer(coded, dtype=t.kind).astype("<u4").tobytes())
+                size += len(ids[-1])
+                if size >= 1 << 20:
+                    yield _keyed_ids(batch, rows, ids, n_keys)
+                    rows, ids, size = [], [], 0
+            if rows:
+                yield _keyed_ids(batch, rows, ids, n_keys)
+
+    kinds = [f"{f.name} {f.dataType.simpleString()}" for f in read.schema.fields[2:]]
+    return read.mapInArrow(run, ", ".join([*kinds, "ids binary"]))
+
+
+def _keyed_ids(batch: pa.RecordBatch, rows: list[int], ids: list[bytes], n_keys: int) -> pa.RecordBatch:
+    owners = pa.array(rows, pa.int64())
+    return pa.RecordBatch.from_arrays([*(batch.column(2 + i).take(owners) for i in range(n_keys)), pa.array(ids, pa.binary())],
+                                      names=[*(f"_k{i}" for i in range(n_keys)), "ids"])
+
+
 _PLACES = "_digest binary, _chunk string, _row long, _at int, _kind int"
 
 
-def _chunks(docs: DataFrame, keys: list[str], text: str, tokenizer) -> DataFrame:
-    """A row for every chunk of every row: digest, place, and the text once per task.  Kind: 0 special token, 1 first chunk of
-    a stretch, 2 later chunk, 3 no text at all.  Keys stand in a row's first chunk alone."""
+def _chunks(read: DataFrame, bits, tokenizer) -> DataFrame:
+    """A row for every chunk of every row with a shared chunk: digest, place, and the text once per task.  Kind: 0 special token,
+    1 first chunk of a stretch, 2 later chunk.  Keys stand in a row's first chunk alone."""
+    n_keys = len(read.columns) - 2
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        t = Tokenizer.of(tokenizer.value)
+        t, filter_ = Tokenizer.of(tokenizer.value), bits.value
         sent: set[bytes] = set()
         for batch in batches:
             numbers, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             places: list[tuple[bytes, bytes, int, int, int, int]] = []
             counts: dict[bytes, int] = {}
             for k, (number, content) in enumerate(zip(numbers, texts)):
-                at = 0
-                for plain, section in _sections(t, content):
-                    raw = section.encode()
-                    start = 0
-                    for end in ends_of_chunks(raw) if plain else [len(raw)]:
-                        part = raw[start:end]
-                        kind = (1 if start == 0 else 2) if plain else 0
-                        digest = hashlib.blake2b(part, digest_size=16, salt=b"text" if plain else b"special").digest()
-                        counts[digest] = counts.get(digest, 0) + 1
-                        places.append((digest, part, number, at, kind, k))
-                        start, at = end, at + 1
-                if not at:
-                    places.append((number.to_bytes(16, "little"), b"", number, 0, 3, k))
+                chunks = list(_chunks_of(t, content))
+                plain_parts = [p for _, plain, p in chunks if plain]
+                if not plain_parts or not _shared(filter_, plain_parts):
+                    continue
+                last = -1
+                for at, (stretch, plain, part) in enumerate(chunks):
+                    kind = (1 if stretch != last else 2) if plain else 0
+                    last = stretch
+                    digest = hashlib.blake2b(part, digest_size=16, salt=b"text" if plain else b"special").digest()
+                    counts[digest] = counts.get(digest, 0) + 1
+                    places.append((digest, part, number, at, kind, k))
             salts = {d: hashlib.blake2b(d, digest_size=16, salt=numbers[0].to_bytes(16, "little")).digest() for d, n in counts.items() if n >= HOT}
             for a in range(0, len(places), 4096):
                 some = places[a : a + 4096]
@@ -330,12 +469,10 @@ def _chunks(docs: DataFrame, keys: list[str], text: str, tokenizer) -> DataFrame
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(digests, pa.binary()), pa.array(chunks, pa.string()), pa.array([p[2] for p in some], pa.int64()),
                      pa.array([p[3] for p in some], pa.int32()), pa.array([p[4] for p in some], pa.int32()),
-                     *(batch.column(2 + i).take(owner) for i in range(len(keys)))],
-                    names=["_digest", "_chunk", "_row", "_at", "_kind", *(f"_k{i}" for i in range(len(keys)))])
+                     *(batch.column(2 + i).take(owner) for i in range(n_keys))],
+                    names=["_digest", "_chunk", "_row", "_at", "_kind", *(f"_k{i}" for i in range(n_keys))])
 
-    read = docs.select(F.monotonically_increasing_id().alias("_row"), F.coalesce(F.col(text), F.lit("")).alias("_text"),
-                       *(F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)))
-    kinds = [f"_k{i} {read.schema[f'_k{i}'].dataType.simpleString()}" for i in range(len(keys))]
+    kinds = [f"{f.name} {f.dataType.simpleString()}" for f in read.schema.fields[2:]]
     return read.mapInArrow(cut, ", ".join([_PLACES, *kinds]))
 
 
@@ -371,7 +508,10 @@ def _encoded(chunks: DataFrame, n_keys: int, tokenizer) -> DataFrame:
 def encode(docs: DataFrame, keys: list[str], text: str = "text", path: str = TOKENIZER) -> DataFrame:
     """``keys`` and ``ids`` of every row: the ids of its whole text as little-endian unsigned 32-bit integers (see ``unpacked``)."""
     tokenizer = docs.sparkSession.sparkContext.broadcast(load(path).state())  # the size of the tokenizer file
-    coded = _encoded(_chunks(docs, keys, text, tokenizer), len(keys), tokenizer)
+    bits = docs.sparkSession.sparkContext.broadcast(shared_chunks(docs, text, tokenizer))  # FILTER_BITS at most
+    read = docs.select(F.monotonically_increasing_id().alias("_row"), F.coalesce(F.col(text), F.lit("")).alias("_text"),
+                       *(F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)))
+    coded = _encoded(_chunks(read, bits, tokenizer), len(keys), tokenizer)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = Tokenizer.of(tokenizer.value)
@@ -416,7 +556,8 @@ def encode(docs: DataFrame, keys: list[str], text: str = "text", path: str = TOK
 
     kinds = [f"{f.name} {f.dataType.simpleString()}" for f in coded.schema.fields[5:]]
     placed = coded.repartition("_row").sortWithinPartitions("_row", "_at")
-    return placed.mapInArrow(run, ", ".join([*kinds, "ids binary"])).withColumnsRenamed({f"_k{i}": k for i, k in enumerate(keys)})
+    joined = placed.mapInArrow(run, ", ".join([*kinds, "ids binary"]))
+    return joined.unionAll(_alone(read, bits, tokenizer)).withColumnsRenamed({f"_k{i}": k for i, k in enumerate(keys)})
 
 
 def decode(coded: DataFrame, ids: str = "ids", to: str = "decoded", path: str = TOKENIZER) -> DataFrame:
