@@ -40,9 +40,8 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Piece ids of every document, and whether they decode to the very text."""
-    coded = unigram.encode(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    back = unigram.decode(coded)
-    return back.select(
+    coded = unigram.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), decoded="decoded")
+    return coded.select(
         "doc_id", F.size("ids").cast("long").alias("n_pieces"), "ids", F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"))
 
 

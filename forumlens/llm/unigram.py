@@ -10,15 +10,19 @@ path over all pieces that the trie finds, a character without piece costing ``UN
 its bytes become byte pieces.  A marker that stands in the text itself is written as bytes, so decoding is exact.
 
 The best paths of many distinct cuts are found side by side: at each position all cuts walk the trie together
-in numpy.  Paths are remembered per task, up to ``REMEMBER`` cuts.
+in numpy, ``CELLS`` bytes of them at a time; a cut of more than ``LONG`` bytes, as in languages written without blanks, walks alone.
+Batches are read in slices of about ``SLICE`` bytes.  Paths of cuts that two slices have in common are remembered per task;
+what is remembered is bounded by bytes, as is what is held of one slice.
 
-Defined results: null text: null ids and null text back; empty text: no ids and the empty text back.
+Defined results: null text: null ids and null text back; empty text: no ids and the empty text back; repeated rows: one
+result each; an empty table: no rows; columns named like the results are replaced, others pass through.  Characters are not normalised.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,8 +34,12 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 ZIPF = 10.0
 UNKNOWN = 10.0
-REMEMBER = 400_000
-GROUP = 4096
+SLICE = 1 << 20
+CELLS = 1 << 20
+LONG = 512
+# Bytes of cuts and paths remembered of the last slices, and for good.
+RECENT = 4 << 20
+REMEMBER = 16 << 20
 _CUTS = re.compile(rb" +[^ ]*|[^ ]+")
 
 
@@ -93,20 +101,64 @@ class Pieces:
 
     def paths(self, cuts: list[bytes]) -> list[np.ndarray]:
         """Piece ids of the best path of each cut."""
+        return [np.frombuffer(ids, dtype=np.int32) for ids in self.packed_paths(cuts)]
+
+    def packed_paths(self, cuts: list[bytes]) -> list[bytes]:
+        """The same as bytes of 32-bit integers."""
         out: list = [None] * len(cuts)
         order = sorted(range(len(cuts)), key=lambda i: len(cuts[i]))
-        for at in range(0, len(order), GROUP):
-            group = order[at : at + GROUP]
+        at = 0
+        while at < len(order) and len(cuts[order[at]]) <= LONG:
             # Cuts of about one length walk together: padding stays small.
-            while group:
-                reach = max(16, 2 * len(cuts[group[0]]))
-                n = next((k for k, i in enumerate(group) if len(cuts[i]) > reach), len(group))
-                for i, ids in zip(group[:n], self._paths([cuts[i] for i in group[:n]])):
-                    out[i] = ids
-                group = group[n:]
+            reach = min(LONG, max(16, 2 * len(cuts[order[at]])))
+            end = at + 1
+            while end < len(order) and end - at < CELLS // (reach + 4) and len(cuts[order[end]]) <= reach:
+                end += 1
+            for i, ids in zip(order[at:end], self._paths([cuts[i] for i in order[at:end]])):
+                out[i] = ids
+            at = end
+        for i in order[at:]:
+            out[i] = self._path(cuts[i])
         return out
 
-    def _paths(self, cuts: list[bytes]) -> list[np.ndarray]:
+    def _path(self, cut: bytes) -> bytes:
+        """The same for one long cut."""
+        base, check, piece, scores = (memoryview(x) for x in (self.base, self.check, self.piece, self.score))
+        n, limit = len(cut), len(check)
+        best = array("d", [-math.inf]) * (n + 1)
+        back, ids = array("i", [0]) * (n + 1), array("i", [-1]) * (n + 1)
+        best[0] = 0.0
+        for start in range(n):
+            here = best[start]
+            if here == -math.inf:
+                continue
+            lead = cut[start]
+            end = min(n, start + (1 if lead < 0x80 else 2 if lead < 0xE0 else 3 if lead < 0xF0 else 4))
+            if here + self.unknown > best[end]:
+                best[end], back[end], ids[end] = here + self.unknown, start, -1
+            node = 0
+            for end in range(start + 1, min(n, start + self.longest) + 1):
+                following = base[node] + cut[end - 1]
+                if base[node] <= 0 or following >= limit or check[following] != node:
+                    break
+                node = following
+                if piece[node] >= 0 and here + scores[node] > best[end]:
+                    best[end], back[end], ids[end] = here + scores[node], start, piece[node]
+        return self._back(cut, back, ids)
+
+    def _back(self, cut: bytes, back, ids) -> bytes:
+        out: list[int] = []
+        end = len(cut)
+        while end:
+            start, number = back[end], ids[end]
+            if number >= 0:
+                out.append(number)
+            else:
+                out.extend([int(self.byte_ids[b]) for b in reversed(cut[start:end])])
+            end = start
+        return array("i", out[::-1]).tobytes()
+
+    def _paths(self, cuts: list[bytes]) -> list[bytes]:
         n, width = len(cuts), max(map(len, cuts))
         text = np.zeros((n, width + 4), dtype=np.int32)
         sizes = np.array([len(c) for c in cuts])
@@ -142,16 +194,7 @@ class Pieces:
                 better = (self.piece[node] >= 0) & (score > best[live, end])
                 rows = live[better]
                 best[rows, end], back[rows, end], piece[rows, end] = score[better], start, self.piece[node[better]]
-        out = []
-        for i, c in enumerate(cuts):
-            ids: list[int] = []
-            end = len(c)
-            while end:
-                start, number = int(back[i, end]), int(piece[i, end])
-                ids.extend([number] if number >= 0 else [int(self.byte_ids[b]) for b in reversed(c[start:end])])
-                end = start
-            out.append(np.array(ids[::-1], dtype=np.int32))
-        return out
+        return [self._back(c, back[i].tolist(), piece[i].tolist()) for i, c in enumerate(cuts)]
 
 
 def load(path: str = MODEL) -> tuple[Pieces, list[bytes]]:
@@ -178,38 +221,69 @@ def load(path: str = MODEL) -> tuple[Pieces, list[bytes]]:
 
 
 class Encoder:
-    """Remembers the best path of the cuts it has seen."""
+    """Encodes slices of text; remembers the paths of cuts that came up in two slices."""
 
     def __init__(self, pieces: Pieces):
         self.pieces = pieces
-        self.known: dict[bytes, np.ndarray] = {}
+        self.known: dict[bytes, bytes] = {}
+        self.recent: dict[bytes, bytes] = {}
+        self.known_bytes = self.recent_bytes = 0
 
-    def _own(self, cut: bytes) -> list[np.ndarray]:
+    def _own(self, cut: bytes) -> bytes:
         """Path of a cut that holds markers of its own: these are written as bytes, the rest as ever."""
         mark = MARK.encode()
-        raw = self.pieces.byte_ids[np.frombuffer(mark, dtype=np.uint8)]
-        parts: list[np.ndarray] = []
+        raw = self.pieces.byte_ids[np.frombuffer(mark, dtype=np.uint8)].astype(np.int32).tobytes()
+        parts: list[bytes] = []
         for k, part in enumerate(cut.split(mark)):
             if k:
                 parts.append(raw)
             if part:
-                parts.extend(self.pieces.paths([part.replace(b" ", mark)]))
-        return parts
+                parts.extend(self.pieces.packed_paths([part.replace(b" ", mark)]))
+        return b"".join(parts)
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in a row, and where those of each text end."""
         mark = MARK.encode()
         cut = [_CUTS.findall((" " + t).encode()) if t else [] for t in texts]
-        fresh = {c for cs in cut for c in cs} - self.known.keys()
-        if len(self.known) + len(fresh) > REMEMBER:
-            self.known.clear()
-            fresh = {c for cs in cut for c in cs}
+        paths: dict[bytes, bytes] = {}
+        fresh: list[bytes] = []
+        for c in {c for cs in cut for c in cs}:
+            ids = self.known.get(c)
+            if ids is None and (ids := self.recent.pop(c, None)) is not None:
+                size = len(c) + len(ids)
+                self.recent_bytes -= size
+                if self.known_bytes + size > REMEMBER:
+                    self.known, self.known_bytes = {}, 0
+                self.known[c] = ids
+                self.known_bytes += size
+            if ids is None:
+                fresh.append(c)
+            else:
+                paths[c] = ids
         plain = [c for c in fresh if mark not in c]
-        for at in range(0, len(plain), 1 << 16):
-            part = plain[at : at + (1 << 16)]
-            self.known.update(zip(part, self.pieces.paths([c.replace(b" ", mark) for c in part])))
-        for c in fresh.difference(plain):
-            self.known[c] = np.concatenate(self._own(c))
-        return [np.concatenate([self.known[c] for c in cs]) if cs else np.zeros(0, dtype=np.int32) for cs in cut]
+        new = dict(zip(plain, self.pieces.packed_paths([c.replace(b" ", mark) for c in plain])))
+        new.update((c, self._own(c)) for c in fresh if mark in c)
+        for c, ids in new.items():
+            if self.recent_bytes > RECENT:
+                self.recent, self.recent_bytes = {}, 0
+            self.recent[c] = ids
+            self.recent_bytes += len(c) + len(ids)
+        paths.update(new)
+        lists = [b"".join([paths[c] for c in cs]) for cs in cut]
+        ends = np.cumsum([len(x) // 4 for x in lists])
+        return np.frombuffer(b"".join(lists), dtype=np.int32), ends
+
+
+def slices(texts: list[str | None]) -> Iterator[tuple[int, int]]:
+    """Stretches of texts of about ``SLICE`` characters."""
+    at = size = 0
+    for k, t in enumerate(texts):
+        size += len(t or "")
+        if size >= SLICE:
+            yield at, k + 1
+            at, size = k + 1, 0
+    if at < len(texts):
+        yield at, len(texts)
 
 
 def decode_ids(ids, decoded: list[bytes]) -> str:
@@ -217,25 +291,31 @@ def decode_ids(ids, decoded: list[bytes]) -> str:
     return (raw[1:] if raw[:1] == b" " else raw).decode(errors="replace")
 
 
-def encode(docs: DataFrame, path: str = MODEL, text: str = "text", to: str = "ids") -> DataFrame:
-    """``docs`` with ``to``: the piece ids of its text."""
-    pieces, _ = load(path)
-    shared = docs.sparkSession.sparkContext.broadcast(pieces)
-    docs = docs.drop(to)
+def encode(docs: DataFrame, path: str = MODEL, text: str = "text", to: str = "ids", decoded: str | None = None) -> DataFrame:
+    """``docs`` with ``to``: the piece ids of its text, and, if named, with ``decoded``: the text of these ids."""
+    pieces, table = load(path)
+    shared = docs.sparkSession.sparkContext.broadcast((pieces, table if decoded else None))  # the size of the model file
+    docs = docs.drop(to, *([decoded] if decoded else []))
     at = docs.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(shared.value)
+        pieces, table = shared.value
+        encoder = Encoder(pieces)
         for batch in batches:
-            texts = batch.column(at).to_pylist()
-            lists = encoder.encode([t or "" for t in texts])
-            offsets = np.cumsum([0] + [len(x) for x in lists]).astype(np.int32)
-            flat = np.concatenate(lists) if lists else np.zeros(0, dtype=np.int32)
-            ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat), mask=pa.array([t is None for t in texts], pa.bool_()))
-            yield pa.RecordBatch.from_arrays([*batch.columns, ids], names=[*batch.schema.names, to])
+            for a, z in slices(batch.column(at).to_pylist()):
+                part = batch.slice(a, z - a)
+                texts = part.column(at).to_pylist()
+                flat, ends = encoder.encode([t or "" for t in texts])
+                none = pa.array([t is None for t in texts], pa.bool_())
+                starts = np.concatenate([np.zeros(1, dtype=np.int64), ends])
+                out = [pa.ListArray.from_arrays(pa.array(starts.astype(np.int32)), pa.array(flat), mask=none)]
+                if decoded:
+                    back = [None if t is None else decode_ids(flat[starts[k] : starts[k + 1]].tolist(), table) for k, t in enumerate(texts)]
+                    out.append(pa.array(back, pa.string()))
+                yield pa.RecordBatch.from_arrays([*part.columns, *out], names=[*batch.schema.names, to, *([decoded] if decoded else [])])
 
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields]
-    return docs.mapInArrow(run, ", ".join([*fields, f"`{to}` array<int>"]))
+    return docs.mapInArrow(run, ", ".join([*fields, f"`{to}` array<int>", *([f"`{decoded}` string"] if decoded else [])]))
 
 
 def decode(coded: DataFrame, path: str = MODEL, ids: str = "ids", to: str = "decoded") -> DataFrame:
