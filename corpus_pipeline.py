@@ -45,7 +45,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def tokenization(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with the piece ids of their text, their number, and whether they decode to the very text."""
-    coded = unigram.decode(unigram.encode(_documents(docs)))
+    coded = unigram.encode(_documents(docs), decoded="decoded")
     return coded.select(
         *DOCUMENT_COLUMNS, F.size("ids").cast("long").alias("n_pieces"), "ids",
         F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"))
