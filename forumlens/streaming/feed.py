@@ -9,12 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from forumlens.operators.merge import Policy, merge, policy_comments
-from forumlens.session import freeze, scratch_path
-
-# Up to this many touched partitions are listed in the plan, so that the target scan prunes
-# to them; a batch that touches more reads the target through a semi join instead.
-MAX_LISTED_PARTITIONS = 1000
+from forumlens.operators.merge import Policy, policy_comments
+from forumlens.session import scratch_path
+from forumlens.sources.store import Store
 
 
 def feed(spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int | None = None,
@@ -32,7 +29,7 @@ def dedupe(sdf: DataFrame, key: str = "id", ts: str | None = None, horizon: str
     """Drop ids already seen.
 
     With a horizon the remembered ids are bounded: duplicates further apart than it may
-    pass.  Without one every id is remembered for good.
+    pass.  Without one every id is remembered for good; ``dedupe_into`` does that without state.
     """
     if horizon is None:
         return sdf.dropDuplicates([key])
@@ -56,49 +53,36 @@ def append_to(path: str) -> Callable[[DataFrame, int], None]:
     return lambda batch, batch_id: batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
 
-def create_target(spark: SparkSession, path: str, schema: T.StructType, partition: str) -> None:
-    spark.createDataFrame([], schema).write.mode("append").partitionBy(partition).parquet(path)
-
-
-def touched_part(spark: SparkSession, path: str, schema: T.StructType, batch: DataFrame, partition: str) -> DataFrame:
-    """Rows of the target in the partitions that the batch touches."""
-    target = spark.read.schema(schema).parquet(path).select(schema.names)
-    touched = batch.select(partition).distinct()
-    listed = touched.limit(MAX_LISTED_PARTITIONS + 1).collect()
-    if len(listed) > MAX_LISTED_PARTITIONS:
-        named = touched.select(F.col(partition).alias("_touched"))
-        return target.join(named, F.col(partition).eqNullSafe(F.col("_touched")), "left_semi")
-    # isin never matches NULL, which is a partition of its own.
-    touches = F.col(partition).isin(*[r[0] for r in listed if r[0] is not None])
-    return target.filter(touches | F.col(partition).isNull() if any(r[0] is None for r in listed) else touches)
+def upsert_to(store: Store, policy: Policy | None = None, ts: str = "timestamp", ties: tuple[str, ...] = (),
+              writer: str = "feed") -> Callable[[DataFrame, int], None]:
+    """Merge each batch into a store, rewriting only the files that can hold its keys.
 
-
-def upsert_to(path: str, schema: T.StructType, partition: str, key="id", policy: Policy | None = None,
-              ts: str = "timestamp", ties: tuple[str, ...] = ()) -> Callable[[DataFrame, int], None]:
-    """Merge each batch into a Parquet table, rewriting only the partitions it touches.
-
-    ``partition`` must be fixed for a key, such as the creation day of a comment.  The
-    merged rows are written aside before they replace their partitions, so a batch that
-    is repeated after a failure finds either the old or the new rows and ends the same.
+    The manifest that names the new files carries the batch's number and is published last, so a driver lost at any
+    point leaves the old rows in sight, and a batch that is repeated after it was published changes nothing.
     """
     rule = policy or policy_comments()
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.select(schema.names)
-        rows = freeze(rows, "batch")
-        stored = touched_part(rows.sparkSession, path, schema, rows, partition)
-        merged = freeze(merge(stored, rows, key, rule, ts, ties), "merged")
-        (
-            merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy(partition).parquet(path)
-        )
+        store.merge(batch.select(store.schema.names), rule, ts, ties, writer=writer, batch_id=batch_id)
 
     return each
 
 
-def upsert(sdf: DataFrame, path: str, checkpoint: str, partition: str, poll: str | None = None, **kw) -> StreamingQuery:
-    create_target(sdf.sparkSession, path, sdf.schema, partition)
-    return run(sdf, upsert_to(path, sdf.schema, partition, **kw), checkpoint, poll=poll)
+def upsert(sdf: DataFrame, store: Store, checkpoint: str, poll: str | None = None, **kw) -> StreamingQuery:
+    return run(sdf, upsert_to(store, **kw), checkpoint, poll=poll)
+
+
+def insert_new_to(store: Store, writer: str = "feed") -> Callable[[DataFrame, int], None]:
+    """Exact deduplication without state: each batch adds the rows whose key the store does not hold yet.
+
+    Stored keys are looked up in the files whose key range and filter admit a key of the batch.  Memory holds one batch
+    however long the stream runs, and a duplicate is dropped however late it comes.
+    """
+    return lambda batch, batch_id: store.insert_missing(batch.select(store.schema.names), writer=writer, batch_id=batch_id)
+
+
+def dedupe_into(sdf: DataFrame, store: Store, checkpoint: str, poll: str | None = None) -> StreamingQuery:
+    return run(sdf, insert_new_to(store), checkpoint, poll=poll)
 
 
 def totals(sdf: DataFrame, *by: str) -> DataFrame:

@@ -12,6 +12,7 @@ from forumlens.operators.ranking import first_by_key, latest
 from forumlens.operators.select import in_list, last_seen
 from forumlens.session import scratch_path
 from forumlens.sources import files
+from forumlens.sources.store import Store
 from forumlens.workload.registry import query
 
 # ---- sources and sinks -------------------------------------------------------------------
@@ -395,17 +396,13 @@ COMMENT_COLS = ["id", "author_name", "subreddit", "score", "text", "scrape_mode"
 TIES = ("created", "score", "subreddit", "text")
 
 
-def newest(col: str, value: str | None = None, order: str = "timestamp, created, score, subreddit, text") -> str:
-    """Newest non-NULL value, rows of one instant ordered by the tie columns."""
-    value = value or col
-    return f"ARG_MAX({value}, ROW({order})) FILTER (WHERE {value} IS NOT NULL) AS {col}"
-
-
-BATCH = "SELECT id, {} FROM ({}) b GROUP BY id"
+# Rows of one id in the order of their age; the newest non-NULL value of a column counts.
+NUMBERED = "SELECT *, ROW_NUMBER() OVER (PARTITION BY id ORDER BY timestamp, created, score, subreddit, text) AS n FROM ({}) b"
 
 
 def reduced(rows: str) -> str:
-    return BATCH.format(", ".join(newest(c) for c in COMMENT_COLS if c != "id"), rows)
+    newest = ", ".join(f"ARG_MAX({c}, n) FILTER (WHERE {c} IS NOT NULL) AS {c}" for c in COMMENT_COLS if c != "id")
+    return f"SELECT id, {newest} FROM ({NUMBERED.format(rows)}) c GROUP BY id"
 
 
 STORED_COMMENTS = reduced("SELECT * FROM comments WHERE score < 10")
@@ -426,6 +423,33 @@ def merge_comments(t):
     return mg.merge_comments(stored_comments(t), t.comments.select(COMMENT_COLS), ties=TIES)
 
 
+FILE_ROWS = 250_000
+
+
+def by_files(t, target, source, key, policy, ties=()):
+    """The same merge into a stored table of several files; only those that can hold a key of the batch are written anew."""
+    store = Store(t.spark, scratch_path(t.spark, "merged"), target.schema, key, rows_per_file=FILE_ROWS)
+    store.append(target)
+    store.merge(source, policy, ties=ties)
+    return store.read()
+
+
+@query("merge_users_by_files", like="merge_users")
+def merge_users_by_files(t):
+    target = t.users_t1.filter("comment_karma > 0 OR is_mod").select(USER_COLS)
+    return by_files(t, target, t.users_t2.select(USER_COLS), "username", mg.policy_users(7))
+
+
+@query("merge_threads_by_files", like="merge_threads")
+def merge_threads_by_files(t):
+    return by_files(t, stored_threads(t), new_threads(t), "id", mg.policy_threads(2))
+
+
+@query("merge_comments_by_files", like="merge_comments")
+def merge_comments_by_files(t):
+    return by_files(t, stored_comments(t), t.comments.select(COMMENT_COLS), "id", mg.policy_comments(), TIES)
+
+
 GROUP_COLS = ["subreddit", "subscribers", "title", "timestamp"]
 
 

@@ -13,8 +13,8 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
-def query(name: str, sql: str | None = None):
-    """Register ``fn(tables)`` under ``name``, with its equivalent SQL if there is one."""
+def query(name: str, sql: str | None = None, like: str | None = None):
+    """Register ``fn(tables)`` under ``name``, with its equivalent SQL if there is one, or that of another query."""
 
     def register(fn: Callable[[Tables], DataFrame]):
         if name in QUERIES:
@@ -22,6 +22,8 @@ def query(name: str, sql: str | None = None):
         QUERIES[name] = fn
         if sql is not None:
             ORACLES[name] = with_views(sql)
+        elif like is not None:
+            ORACLES[name] = ORACLES[like]
         return fn
 
     return register

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from forumlens.session import scratch_path
+from forumlens.sources.store import Store
 from forumlens.streaming import feed as st
 from forumlens.workload.registry import query
 
@@ -31,6 +32,14 @@ def stream_dedupe(t):
     return st.drain(st.dedupe(polled(t), "event_id"))
 
 
+@query("stream_dedupe_stored", "SELECT * FROM events")
+def stream_dedupe_stored(t):
+    """Exact however late a duplicate comes, without state: batches are compared with what is stored."""
+    store = Store(t.spark, scratch_path(t.spark, "deduped"), t.events.schema, "event_id")
+    st.dedupe_into(polled(t), store, scratch_path(t.spark, "dedupe-state")).awaitTermination()
+    return store.read()
+
+
 @query("stream_dedupe_horizon", "SELECT event_id, user_id, value FROM events")
 def stream_dedupe_horizon(t):
     timed = polled(t).withColumn("at", F.col("ts").cast("timestamp"))
@@ -59,11 +68,11 @@ def stream_upsert(t):
     first.write.parquet(path)
     record(t.events.filter("event_type <> 'click'"), F.lit(None), 100, "thread", 1).write.mode("append").parquet(path)
     record(t.events, F.lit("late"), 500, "profile", 2).write.mode("append").parquet(path)
-    target = scratch_path(t.spark, "comments")
+    store = Store(t.spark, scratch_path(t.spark, "comments"), first.schema, "id")
     # Files are read in the order they were written, so polls stay in order.
     records = st.feed(t.spark, path, first.schema, files_per_batch=1)
-    st.upsert(records, target, scratch_path(t.spark, "upsert-state"), "day").awaitTermination()
-    return t.spark.read.schema(first.schema).parquet(target).select(first.columns)
+    st.upsert(records, store, scratch_path(t.spark, "upsert-state")).awaitTermination()
+    return store.read()
 
 
 @query("stream_totals", "SELECT event_type, COUNT(*) AS count FROM events GROUP BY event_type")

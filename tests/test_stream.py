@@ -3,10 +3,10 @@
 import datetime as dt
 
 from conftest import rows
-from pyspark.sql import types as T
 
 from forumlens.operators import merge as mg
 from forumlens.session import scratch_path
+from forumlens.sources.store import Store
 from forumlens.streaming import feed as st
 
 T0 = dt.datetime(2024, 1, 1)
@@ -28,28 +28,59 @@ def polls(spark):
 
 def test_upsert_stream_equals_batches_and_is_idempotent(spark):
     path, frames = polls(spark)
-    target = scratch_path(spark, "test-target")
+    store = Store(spark, scratch_path(spark, "test-target"), frames[0].schema, "id")
     sdf = st.feed(spark, path, frames[0].schema, files_per_batch=1)
-    st.upsert(sdf, target, scratch_path(spark, "test-state"), "day").awaitTermination()
+    st.upsert(sdf, store, scratch_path(spark, "test-state")).awaitTermination()
     want = frames[0].limit(0)
     for frame in frames:
         want = mg.merge_comments(want, frame)
-    read = lambda: rows(spark.read.schema(frames[0].schema).parquet(target).select(want.columns))
-    assert read() == rows(want)
-    st.upsert_to(target, frames[0].schema, "day")(frames[2], 2)
-    assert read() == rows(want)
+    assert rows(store.read()) == rows(want)
+    st.upsert_to(store)(frames[2], 2)
+    assert rows(store.read()) == rows(want)
 
 
-def test_upsert_leaves_other_partitions_alone(spark):
+def test_upsert_batch_killed_before_it_is_published_is_repeated(spark, monkeypatch):
     path, frames = polls(spark)
-    target = scratch_path(spark, "test-target")
-    st.create_target(spark, target, frames[0].schema, "day")
-    each = st.upsert_to(target, frames[0].schema, "day")
+    store = Store(spark, scratch_path(spark, "test-target"), frames[0].schema, "id")
+    each = st.upsert_to(store)
     each(frames[0], 0)
-    files = lambda day: sorted(f for f in spark.read.parquet(target).inputFiles() if f"day={day}/" in f)
-    before = files("d1")
-    each(frames[1].filter("day = 'd2'"), 1)
-    assert files("d1") == before and spark.read.parquet(target).count() == 22
+    before = rows(store.read())
+
+    def killed(*a):
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as m:
+        m.setattr(Store, "_publish", killed)
+        try:
+            each(frames[1], 1)
+        except KeyboardInterrupt:
+            pass
+    assert rows(store.read()) == before
+    each(frames[1], 1)
+    assert rows(store.read()) == rows(mg.merge_comments(frames[0], frames[1]))
+
+
+def test_upsert_leaves_other_files_alone(spark):
+    path, frames = polls(spark)
+    store = Store(spark, scratch_path(spark, "test-target"), frames[0].schema, "id", rows_per_file=5)
+    st.upsert_to(store)(frames[0], 0)
+    before = {r["file"] for r in store.files().collect()}
+    st.upsert_to(store)(frames[1].filter("id = 7"), 1)
+    after = {r["file"] for r in store.files().collect()}
+    assert len(before) >= 3 and len(before - after) == 1 and store.read().count() == 20
+
+
+def test_dedupe_into_a_store_is_exact_without_state(spark):
+    path, frames = polls(spark)
+    store = Store(spark, scratch_path(spark, "test-target"), frames[0].schema, "id", rows_per_file=5)
+    state = scratch_path(spark, "test-state")
+    sdf = st.feed(spark, path, frames[0].schema, files_per_batch=1)
+    query = st.dedupe_into(sdf, store, state)
+    query.awaitTermination()
+    assert all(not p["stateOperators"] for p in query.recentProgress)
+    got = {r["id"]: r["text"] for r in store.read().collect()}
+    assert got == {**{i: f"t{i}" for i in range(20)}, **{i: None for i in range(20, 25)}, **{i: "late" for i in range(25, 30)}}
+    assert store.read().count() == 30
 
 
 def test_dedupe_totals_and_new_members(spark):
@@ -59,14 +90,3 @@ def test_dedupe_totals_and_new_members(spark):
     assert rows(st.drain(st.totals(feed(), "scrape_mode"), "complete", "b")) == [("profile", 50), ("thread", 20)]
     users = spark.createDataFrame([("u1",)], "username string")
     assert rows(st.drain(st.new_members(feed(), users), label="c")) == [("u0",), ("u2",), ("u3",), ("u9",)]
-
-
-def test_batches_keep_stored_rows_of_the_null_partition(spark, tmp_path):
-    from forumlens.streaming.feed import touched_part
-
-    schema = T.StructType([T.StructField("id", T.IntegerType()), T.StructField("day", T.StringType())])
-    stored = spark.createDataFrame([(1, None), (2, "a"), (3, "b")], schema)
-    stored.write.partitionBy("day").parquet(str(tmp_path / "t"))
-    batch = spark.createDataFrame([(4, None), (5, "a")], schema)
-    got = touched_part(spark, str(tmp_path / "t"), schema, batch, "day")
-    assert sorted(r["id"] for r in got.collect()) == [1, 2]
