@@ -52,7 +52,7 @@ SETTLED = 3
 # Words longer than this many bytes merge by a queue, and are not remembered; remembered words; chunks whose text was sent;
 # hashes counted before they are passed on.
 SHORT = 64
-MEMO = 250_000
+MEMO = 150_000
 SENT = 100_000
 COUNTED = 200_000
 FILTER_BITS = 1 << 28
@@ -102,9 +102,9 @@ def _byte_letters() -> dict[str, int]:
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
-def _classes(pre_tokenizer) -> tuple[list[str], str]:
-    """Letters, digits and blanks as the library sees them, as ranges of a character class, and the characters that ``regex``
-    has in another class."""
+def _classes(pre_tokenizer) -> tuple[list[str], str, str]:
+    """Letters, digits and blanks as the library sees them, as ranges of a character class, the characters that ``regex``
+    has in another class, and the first few hundred of those it has in the same."""
     everything = "".join(chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000)
     ours = [set(regex.findall(c, everything)) for c in (r"\p{L}", r"\p{N}", r"\s")]
     named = {c for c in everything if unicodedata.category(c)[0] in "LNZ" or c.isspace()}
@@ -118,7 +118,8 @@ def _classes(pre_tokenizer) -> tuple[list[str], str]:
     starts = {span[0] for _, span in pre_tokenizer.pre_tokenize_str(text)}
     theirs.append({c for k, c in enumerate(likely) if 3 * k + 1 in starts} - theirs[0] - theirs[1])
     other = set().union(*(a ^ b for a, b in zip(ours, theirs)))
-    return [_ranges(sorted(map(ord, chars))) for chars in theirs], _ranges(sorted(map(ord, other)))
+    usual = [c for c in range(min([ord(c) for c in other if c > "~"], default=0x300)) if chr(c) not in other]
+    return [_ranges(sorted(map(ord, chars))) for chars in theirs], _ranges(sorted(map(ord, other))), _ranges(usual)
 
 
 def _ranges(codes: list[int]) -> str:
@@ -158,7 +159,7 @@ class Tokenizer:
             self.pieces[i] = content.encode()
         self.kind, self.code = ("<u2", "H") if len(self.pieces) <= 1 << 16 else ("<u4", "I")
         self.special = {content: np.array([i], dtype=self.kind).tobytes() for content, i in special.items() if content}
-        (letter, digit, blank), self.other = _classes(Library.from_file(path).pre_tokenizer)
+        (letter, digit, blank), self.other, self.usual = _classes(Library.from_file(path).pre_tokenizer)
         self.pattern = (rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{letter}]+| ?[{digit}]+| ?[^{blank}{letter}{digit}]+"
                         rf"|[{blank}]+(?![^{blank}])|[{blank}]+")
         self.ready()
@@ -168,15 +169,20 @@ class Tokenizer:
         self.plain = regex.compile(WORDS).findall
         self.exact = re.compile(self.pattern).findall
         self.doubtful = re.compile(f"[{self.other}]").search if self.other else lambda text: None
+        # Most texts have no character beyond the first doubtful one; that is seen at once.
+        self.unusual = re.compile(f"[^{self.usual}]").search
+        letters = bytes(self.byte_ids) if max(self.byte_ids) < 256 else None
+        self.letters = (lambda raw: list(raw.translate(letters))) if letters else lambda raw: [self.byte_ids[b] for b in raw]
         self.cut_special = re.compile("|".join(map(re.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
         self.memo: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def words(self, text: str) -> list[str]:
-        return self.exact(text) if self.doubtful(text) else self.plain(text)
+        return self.exact(text) if self.unusual(text) and self.doubtful(text) else self.plain(text)
 
     def state(self) -> dict:
         """Plain values to make the same tokenizer of elsewhere."""
-        return {k: v for k, v in self.__dict__.items() if k not in ("plain", "exact", "doubtful", "cut_special", "memo")}
+        return {k: v for k, v in self.__dict__.items() if k not in ("plain", "exact", "doubtful", "unusual", "letters", "cut_special", "memo", "older")}
 
     @classmethod
     def of(cls, state: dict) -> Tokenizer:
@@ -189,15 +195,21 @@ class Tokenizer:
         """Ids of one word, as bytes of ``kind``: adjacent pieces merge by rank, the leftmost first."""
         ids = self.memo.get(word)
         if ids is None:
+            ids = self.older.get(word)
             raw = word.encode()
-            short = len(raw) <= SHORT
-            ids = array(self.code, (self._merged if short else self._merged_long)([self.byte_ids[b] for b in raw])).tobytes()
-            if short:
-                if len(self.memo) >= MEMO:
-                    self.memo.clear()
+            if ids is None:
+                merge = self._merged if len(raw) <= SHORT else self._merged_long
+                ids = array(self.code, merge(self.letters(raw))).tobytes()
+            if len(raw) <= SHORT:
+                if len(self.memo) >= MEMO:  # words met since the last change stay
+                    self.older, self.memo = self.memo, {}
                 self.memo[word] = ids
         return ids
 
+    def coded(self, words: list[str]) -> list[bytes]:
+        known, word = self.memo.get, self.word
+        return [known(w) or word(w) for w in words] if len(self.memo) + len(words) < MEMO else [word(w) for w in words]
+
     def _merged(self, ids: list[int]) -> list[int]:
         found = self.merges.get
         none = 1 << 62
@@ -239,8 +251,7 @@ class Tokenizer:
         return [i for i in ids if i >= 0]
 
     def encode(self, text: str) -> bytes:
-        word = self.word
-        return b"".join([word(w) for w in self.words(text)])
+        return b"".join(self.coded(self.words(text)))
 
     def bytes_of(self, ids: bytes) -> bytes:
         pieces = self.pieces
@@ -249,7 +260,7 @@ class Tokenizer:
     def chunk(self, text: str) -> tuple[bytes, list[int]]:
         """Ids of a chunk by itself; the token where its last settled word ends, and where its first words begin up to there."""
         words = self.words(text)
-        coded = [self.word(w) for w in words]
+        coded = self.coded(words)
         size = np.dtype(self.kind).itemsize
         left, settled = 0, len(words)
         while settled and left < SETTLED:

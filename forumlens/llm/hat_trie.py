@@ -41,7 +41,7 @@ BURST = 4096
 ENTRIES = 1_000_000
 WORD_BITS = 21
 FILTER_BITS = 1 << 25
-BLOCK = 4 << 20
+BLOCK = 2 << 20
 _MASK = (1 << WORD_BITS) - 1
 _BREAK, _BLANK = 10, 32
 RUN_SCHEMA = "lang string, w1 string, w2 string, w3 string, n long"
