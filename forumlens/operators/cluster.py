@@ -6,6 +6,7 @@ from pyspark.ml.clustering import PowerIterationClustering
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from forumlens.operators.ranking import exact_rank
 from forumlens.operators.similarity import numbered
 from forumlens.session import freeze
 
@@ -22,17 +23,19 @@ def _unfinished(links: DataFrame) -> DataFrame:
     return ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down")).filter("up + down > 1 and up > 0")
 
 
-def components(distances: DataFrame, h: float) -> DataFrame:
+def components(distances: DataFrame, h: float, groups: DataFrame | None = None) -> DataFrame:
     """Label of every group: the least group it is linked to by steps of at most ``h``.
 
-    That is single linkage cut at height h.  Alternating star contraction (large star, then
+    ``groups`` (one column ``group``) names all groups where the pairs are only those within reach; without it
+    the groups are those of the pairs.  That is single linkage cut at height h.  Alternating star contraction (large star, then
     small star) needs a logarithmic number of rounds, where passing labels along edges
     would need as many as the longest chain.  Both steps are a min per node, combined
     before the shuffle, and a join back to the edges.
     """
-    groups = freeze(
-        distances.select(F.col("i").alias("group")).unionAll(distances.select("j")).distinct(), "labels"
-    )
+    if groups is None:
+        distances = freeze(distances, "distances")
+        groups = distances.select(F.col("i").alias("group")).unionAll(distances.select("j")).distinct()
+    groups = freeze(groups, "labels")
     links = distances.filter((F.col("distance") <= h) & (F.col("i") != F.col("j")))
     links = freeze(
         links.select(F.greatest("i", "j").alias("u"), F.least("i", "j").alias("v")).distinct(), "links"
@@ -57,6 +60,52 @@ def components(distances: DataFrame, h: float) -> DataFrame:
     return groups.join(labels, "group", "left").select("group", F.coalesce("_least", "group").alias("cluster"))
 
 
+def merge_tree(distances: DataFrame) -> DataFrame:
+    """(i, j, distance) of the merges of single linkage: the least spanning forest of the pairs, ties by i, then j.
+
+    Rounds of picking every cluster's nearest neighbour and merging along the picks; each round at least halves the
+    clusters.  Between two clusters only their nearest pair goes on, so the pairs shrink with the clusters.
+    A pair without a row has no merge: a forest over several trees leaves as many clusters.
+    """
+    order = F.struct("distance", "i", "j")
+    pair = [F.least("i", "j").alias("i"), F.greatest("i", "j").alias("j")]
+    pairs = distances.filter(F.col("i") != F.col("j")).select(*pair, "distance").groupBy("i", "j").agg(F.min("distance").alias("distance"))
+    open_ = freeze(pairs.select(F.col("i").alias("a"), F.col("j").alias("b"), "i", "j", "distance"), "open")
+    merges: DataFrame | None = None
+    while not open_.isEmpty():
+        ends = open_.select(F.col("a").alias("c"), order.alias("e")).unionAll(open_.select("b", order))
+        picked = freeze(ends.groupBy("c").agg(F.min("e").alias("e")).select("e.*").distinct(), "picked")
+        merges = freeze(picked if merges is None else merges.unionByName(picked), "merges")
+        # Clusters so far, from all merges: names stay the least member's.
+        labels = components(merges.withColumn("distance", F.lit(0.0)), 0.0)
+        side = lambda end, to: labels.select(F.col("group").alias(end), F.col("cluster").alias(to))
+        moved = open_.drop("a", "b").join(side("i", "a"), "i").join(side("j", "b"), "j").filter(F.col("a") != F.col("b"))
+        nearest = moved.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.min(order).alias("e"))
+        open_ = freeze(nearest.select("a", "b", "e.*"), "open")
+    return pairs.limit(0).unionByName(merges) if merges is not None else pairs
+
+
+def cut(tree: DataFrame, groups: DataFrame, k: int) -> DataFrame:
+    """(group, cluster): the tree of merges undone from the top until ``k`` clusters are left, named by their least group.
+
+    Trees that never merge are at distance 1 of each other and join in the order of their names.
+    """
+    groups = freeze(groups.select("group").distinct(), "groups")
+    tree = freeze(tree, "tree")
+    n, merged = groups.count(), tree.count()
+    trees = n - merged
+    if trees <= k:
+        undo = min(k, n) - trees
+        ranked = exact_rank(tree, [F.col("distance").desc(), F.col("i").desc(), F.col("j").desc()], (), "_rn")
+        return components(ranked.filter(F.col("_rn") > undo).select("i", "j", F.lit(0.0).alias("distance")), 0.0, groups)
+    found = components(tree.select("i", "j", F.lit(0.0).alias("distance")), 0.0, groups)
+    first = exact_rank(found.select("cluster").distinct(), [F.col("cluster")], (), "_rn")
+    joining = freeze(first.filter(F.col("_rn") <= trees - k + 1).select("cluster"), "joining")
+    least = joining.agg(F.min("cluster").alias("_least"))
+    named = joining.join(F.broadcast(least))  # one row
+    return found.join(named, "cluster", "left").select("group", F.coalesce("_least", "cluster").alias("cluster"))
+
+
 def clusters(similarity: DataFrame, k: int, value: str, rounds: int = 20) -> DataFrame:
     """``k`` clusters by power iteration on the similarity graph (approximate)."""
     edges = similarity.filter(F.col(value) > 0)

@@ -8,6 +8,7 @@ from forumlens.operators import cluster as cl
 from forumlens.operators import ngrams as ng
 from forumlens.operators import similarity as sim
 from forumlens.operators import stats
+from forumlens.session import freeze
 from forumlens.workload.registry import query
 
 # ---- n-grams -------------------------------------------------------------------------------
@@ -226,6 +227,7 @@ def compound_distance(t):
 # ---- clusters -----------------------------------------------------------------------------------
 
 CUT = 0.945
+LEAST = 0.1
 LABELS = f"""d AS (SELECT i, j, 1 - common / CAST(u AS DOUBLE) AS distance FROM z),
     nodes2 AS (SELECT i AS g FROM d UNION SELECT j FROM d),
     link AS (SELECT i AS a, j AS b FROM d WHERE distance <= {CUT} UNION SELECT j, i FROM d WHERE distance <= {CUT}),
@@ -238,12 +240,42 @@ def staff_distance(t):
     return sim.distance(sim.jaccard(staff(t)), "jaccard")
 
 
-query("cluster_threshold", f"{UP_TO_LABELS} SELECT * FROM lab")(lambda t: cl.components(staff_distance(t), CUT))
+@query("cluster_threshold", f"{UP_TO_LABELS} SELECT * FROM lab")
+def cluster_threshold(t):
+    """Only pairs within the cut are made; groups without one are named apart."""
+    m = freeze(staff(t), "staff")
+    near = sim.distance(sim.jaccard(m, least=1 - CUT - 1e-9), "jaccard")
+    return cl.components(near, CUT, sim.connected_groups(m))
 
 
-@query("cluster_k")
+query("similarity_join", f"{UP_TO_JACCARD} SELECT i, j, ROUND(jaccard, 6) AS jaccard FROM jac WHERE jaccard >= {LEAST}")(
+    lambda t: rounded(sim.jaccard(membership(t), least=LEAST), "jaccard")
+)
+
+# The whole tree by joining the nearest group outside, one at a time; then its top K - 1 merges are undone.
+K = 12
+TREE = """pair AS (SELECT i, j, 1 - common / CAST(u AS DOUBLE) AS d FROM z),
+    named AS (SELECT i AS g FROM pair UNION SELECT j FROM pair),
+    full_ AS (SELECT a.g AS i, b.g AS j, COALESCE(pair.d, 1.0) AS d FROM named a JOIN named b ON a.g < b.g
+      LEFT JOIN pair ON pair.i = a.g AND pair.j = b.g),
+    ranked AS (SELECT i, j, ROW_NUMBER() OVER (ORDER BY d, i, j) AS r FROM full_),
+    grown(inside, r) AS (SELECT [MIN(g)], CAST(0 AS BIGINT) FROM named UNION ALL
+      SELECT * FROM (SELECT LIST_APPEND(inside, CASE WHEN LIST_CONTAINS(inside, i) THEN j ELSE i END), ranked.r
+        FROM grown, ranked WHERE LIST_CONTAINS(inside, i) <> LIST_CONTAINS(inside, j) ORDER BY ranked.r LIMIT 1) nearest),
+    kept AS (SELECT i AS a, j AS b FROM ranked WHERE r IN (SELECT r FROM grown WHERE r > 0 ORDER BY r DESC OFFSET {undone})),
+    link AS (SELECT a, b FROM kept UNION ALL SELECT b, a FROM kept),
+    reach(g, r) AS (SELECT g, g FROM named UNION SELECT reach.g, link.b FROM reach JOIN link ON link.a = reach.r)"""
+
+
+@query(
+    "cluster_k",
+    f"""WITH RECURSIVE {MOD_MEMBERS}, {PAIRS}, {SIZED}, {TREE.format(undone=K - 1)}
+    SELECT g AS "group", MIN(r) AS cluster FROM reach GROUP BY g""",
+)
 def cluster_k(t):
-    return cl.clusters(sim.jaccard(staff(t)), 12, "jaccard")
+    found = freeze(staff_distance(t), "distances")
+    groups = found.select(F.col("i").alias("group")).unionAll(found.select("j"))
+    return cl.cut(cl.merge_tree(found), groups, K)
 
 
 @query(
@@ -255,5 +287,5 @@ def cluster_k(t):
       WHERE a.cluster = b.cluster) d ON d.cluster = s.cluster GROUP BY s.cluster""",
 )
 def complete_link_check(t):
-    found = staff_distance(t)
+    found = freeze(staff_distance(t), "distances")
     return rounded(cl.diameter(cl.components(found, CUT), found), "diameter")
