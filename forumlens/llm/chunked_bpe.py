@@ -186,10 +186,13 @@ class Tokenizer:
 
     @classmethod
     def of(cls, state: dict) -> Tokenizer:
-        out = cls.__new__(cls)
-        out.__dict__.update(state)
-        out.ready()
-        return out
+        """The tokenizer of a broadcast state; tasks that share a Python worker share it, and the words it remembers."""
+        if "live" not in state:
+            out = cls.__new__(cls)
+            out.__dict__.update(state)
+            out.ready()
+            state["live"] = out
+        return state["live"]
 
     def word(self, word: str) -> bytes:
         """Ids of one word, as bytes of ``kind``: adjacent pieces merge by rank, the leftmost first."""
