@@ -14,14 +14,15 @@ from pyspark.sql import functions as F
 from forumlens.functions.scalars import Z_95, ratio as ratio_of, wilson_bounds
 from forumlens.operators.ranking import exact_rank, ordinal as dense_ordinal
 from forumlens.operators.select import as_ntz, in_list
+from forumlens.session import freeze
 
 # Characters that separate tokens.
 TOKEN_SPLIT = r"[. '\",.:\s?]+"
-# Extra stop tokens beside the caller's word list.
-WEB_WORDS = ["www", "http", "https", "com", "org", "net", "gov", "io", "ly", "co", "uk"]
 SINGLE_CHARACTERS = list("abcdefghijklmnopqrstuvwxyz0123456789")
-# A pattern lexicon is compiled into the plan, so its size is bounded and checked.
-MAX_PATTERN_TERMS = 2000
+# Up to this many terms are compiled into the plan as patterns; more are matched by a join.  The rows are the same.
+PLAN_TERMS = 200
+# Terms of a grid are dealt in lists of about this size.
+TERM_LIST = 1000
 
 
 def source(df: DataFrame, since=None, groups: DataFrame | None = None, bots: list[str] | None = None) -> DataFrame:
@@ -43,8 +44,8 @@ def tokens(df: DataFrame, text: str = "text", distinct: bool = False) -> DataFra
 
 
 def stop_words(spark, words: list[str]) -> DataFrame:
-    """Stop list: the caller's words, single characters, web words and the empty token."""
-    every = dict.fromkeys([*words, *SINGLE_CHARACTERS, *WEB_WORDS, ""])
+    """Stop list: the caller's words, single characters and the empty token."""
+    every = dict.fromkeys([*words, *SINGLE_CHARACTERS, ""])
     return spark.createDataFrame([(w,) for w in every], "word string")
 
 
@@ -74,29 +75,76 @@ def term_freq(words: DataFrame, lexicon: DataFrame, canonical: bool = False) ->
     return hits(words, lexicon, canonical).groupBy("subreddit", "term").agg(F.count(F.lit(1)).alias("count"))
 
 
-def term_patterns(terms: list[str], faithful: bool) -> list[str]:
+def term_edges(faithful: bool) -> tuple[str, str]:
     """Anchored patterns let a term start or end the text; faithful ones need a neighbour."""
-    before, after = (r"[\s^]", r"[\s,.!?$]") if faithful else (r"(?:^|\s)", r"(?:$|[\s,.!?])")
+    return (r"[\s^]", r"[\s,.!?$]") if faithful else (r"(?:^|\s)", r"(?:$|[\s,.!?])")
+
+
+def term_patterns(terms: list[str], faithful: bool) -> list[str]:
+    before, after = term_edges(faithful)
     return [f"{before}{re.escape(term)}{after}" for term in terms]
 
 
 def term_freq_regex(df: DataFrame, lexicon: DataFrame, text: str = "text", faithful: bool = False,
-                    fold_case: bool = False) -> DataFrame:
+                    fold_case: bool = False, plan_terms: int = PLAN_TERMS) -> DataFrame:
     """Rows per (group, term) whose text matches the term as a word; zero rows are kept.
 
-    The bounded lexicon becomes literal patterns, so a text is read once and emits only
-    the terms it holds.  Zero cells come from the groups, not from rows times terms.
+    A few terms become literal patterns, so a text is read once and emits only the terms it holds.  Any
+    number of terms is matched by a join: see ``matched_terms``.  Zero cells come from the groups, not from rows times terms.
     """
-    terms = [r[0] for r in lexicon.select("term").distinct().orderBy("term").limit(MAX_PATTERN_TERMS + 1).collect()]
-    if len(terms) > MAX_PATTERN_TERMS:
-        raise ValueError(f"more than {MAX_PATTERN_TERMS} pattern terms; use token mode")
+    listed = lexicon.select("term").filter(F.col("term").isNotNull()).distinct()
+    terms = [r[0] for r in listed.orderBy("term").limit(plan_terms + 1).collect()]
     value = F.lower(text) if fold_case else F.col(text)
-    found = [F.when(value.rlike(p), F.lit(t)) for t, p in zip(terms, term_patterns(terms, faithful))]
-    matched = df.select("subreddit", F.explode(F.array_compact(F.array(*found))).alias("term"))
+    if len(terms) <= plan_terms:
+        found = [F.when(value.rlike(p), F.lit(t)) for t, p in zip(terms, term_patterns(terms, faithful))]
+        matched = df.select("subreddit", F.explode(F.array_compact(F.array(*found))).alias("term"))
+    else:
+        matched, terms = matched_terms(df.select("subreddit", value.alias("text")), listed, faithful), listed
     counts = matched.groupBy("subreddit", "term").agg(F.count(F.lit(1)).alias("count"))
     return densify(counts, df.select("subreddit"), terms).select("subreddit", "term", "count")
 
 
+# Runs of letters and digits.  A term stands between blanks, marks or the ends of the text, so every run of it is a whole run of the text.
+RUN = r"[\p{L}\p{N}]+"
+
+
+def matched_terms(rows: DataFrame, terms: DataFrame, faithful: bool = False) -> DataFrame:
+    """(subreddit, term) for every row and term that its ``text`` matches.
+
+    Each term looks for the rarest of its runs of letters and digits; rows that have this run are checked against the term's
+    own pattern.  A term without such runs looks by its first word, which begins a word of the text and ends before a
+    mark or at its end; a blank term by nothing at all.
+    """
+    rows = freeze(rows.withColumn("_row", F.monotonically_increasing_id()), "texts")
+    gaps = r"[\s^]+" if faithful else r"\s+"
+    blank_cut = lambda c: F.filter(F.split(c, gaps), lambda w: w != "")
+    marks = r"(?=[,.!?$])" if faithful else r"(?=[,.!?])"
+
+    def starts(word: Column) -> Column:
+        """Beginnings of a word up to a mark or its end."""
+        parts = F.split(word, marks)
+        return F.transform(F.sequence(F.lit(1), F.size(parts)), lambda n: F.array_join(F.slice(parts, F.lit(1), n), ""))
+
+    bare = lambda c: ~c.rlike(RUN)
+    first = F.flatten(F.transform(blank_cut(F.col("text")), starts))
+    keys = F.array_distinct(F.concat(F.regexp_extract_all("text", F.lit(RUN), F.lit(0)), F.filter(first, bare), F.array(F.lit(""))))
+    held = rows.select("_row", F.explode(keys).alias("key"))
+
+    run_keys = F.array_distinct(F.regexp_extract_all("term", F.lit(RUN), F.lit(0)))
+    words = blank_cut(F.col("term"))
+    own = F.when(F.col("term").rlike(RUN), run_keys).when(F.size(words) > 0, F.slice(words, 1, 1)).otherwise(F.array(F.lit("")))
+    offered = freeze(terms.select("term", F.explode(own).alias("key")), "term_keys")
+    known = held.join(offered.select("key").distinct(), "key").groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    rarest = (
+        offered.join(known, "key", "left")
+        .groupBy("term").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "key")).alias("k"))
+        .filter(F.col("k.n") > 0).select("term", F.col("k.key").alias("key")))
+    near = held.join(rarest, "key").select("_row", "term")
+    before, after = term_edges(faithful)
+    pattern = F.concat(F.lit(before), F.regexp_replace("term", r"([^\p{L}\p{N}_])", r"\\$1"), F.lit(after))
+    return near.join(rows, "_row").filter(F.regexp_like("text", pattern)).select("subreddit", "term")
+
+
 def relative(freq: DataFrame, rows: DataFrame) -> DataFrame:
     """Count divided by all rows of the group."""
     totals = rows.groupBy("subreddit").agg(F.count(F.lit(1)).alias("_rows"))
@@ -121,27 +169,24 @@ def summary_rows(flagged: DataFrame, flag: str = "has_any") -> DataFrame:
     return flagged.groupBy("subreddit").agg(hit.alias("total"), ratio_of(hit, F.count(F.lit(1))).alias("share"))
 
 
-def densify(freq: DataFrame, groups: DataFrame, terms: list[str]) -> DataFrame:
+def densify(freq: DataFrame, groups: DataFrame, terms: list[str] | DataFrame) -> DataFrame:
     """A row for every (group, term); cells nobody wrote become 0.
 
-    The terms are a bounded list, so the grid is made by exploding that list per group and
-    grows with the groups only.
+    Terms (a list, or a table with a column ``term``) are dealt in lists, which meet every group and are exploded there.
     """
-    if len(terms) > MAX_PATTERN_TERMS:
-        raise ValueError(f"more than {MAX_PATTERN_TERMS} grid terms")
     names = groups.select("subreddit").filter(F.col("subreddit").isNotNull()).distinct()
-    grid = names.select("subreddit", F.explode(F.array(*[F.lit(t) for t in terms])).alias("term"))
+    if isinstance(terms, DataFrame):
+        terms = freeze(terms.select("term").distinct(), "terms")
+        n = -(-terms.count() // TERM_LIST) or 1
+        lists = terms.groupBy(F.pmod(F.xxhash64("term"), F.lit(n)).alias("_list")).agg(F.collect_list("term").alias("_terms"))
+        grid = names.select("subreddit", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint"))).alias("_list")).join(lists, "_list")
+        grid = grid.select("subreddit", F.explode("_terms").alias("term"))
+    else:
+        grid = names.select("subreddit", F.explode(F.array(*[F.lit(t) for t in terms])).alias("term"))
     filled = [F.coalesce(c, F.lit(0)).alias(c) for c in freq.columns if c not in ("subreddit", "term")]
     return grid.join(freq, ["subreddit", "term"], "left").select("subreddit", "term", *filled)
 
 
-def lexicon_terms(lexicon: DataFrame, canonical: bool = False) -> list[str]:
-    """Distinct terms of a bounded lexicon."""
-    label = "canonical" if canonical else "term"
-    rows = normal_terms(lexicon).select(label).distinct().orderBy(label).limit(MAX_PATTERN_TERMS + 1).collect()
-    return [r[0] for r in rows]
-
-
 def wilson(df: DataFrame, count: str = "count", p: str = "relative", z: float = Z_95) -> DataFrame:
     n, lower, upper = wilson_bounds(count, p, z)
     return df.withColumns({"n": n, "lower_p": lower, "upper_p": upper})

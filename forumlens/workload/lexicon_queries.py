@@ -9,9 +9,9 @@ from forumlens.operators import lexicon as lx
 from forumlens.workload.registry import query
 from forumlens.workload.views import LEXICON
 
-# The caller's word list; single characters and web words are added by the operator.
-STOP = ["of", "and", "in", "to", "der", "die", "de", "und"]
-ALL_STOP = [*STOP, *lx.SINGLE_CHARACTERS, *lx.WEB_WORDS, ""]
+# The caller's word list; single characters and the empty token are added by the operator.
+STOP = ["of", "and", "in", "to", "der", "die", "de", "und", "www", "http", "https", "com"]
+ALL_STOP = [*STOP, *lx.SINGLE_CHARACTERS, ""]
 TERMS = [t for t, _, _ in LEXICON]
 CANONICAL = sorted({c for _, c, _ in LEXICON})
 
@@ -100,6 +100,7 @@ def regex_sql(faithful: bool) -> str:
 
 
 query("term_freq_regex", regex_sql(False))(lambda t: lx.term_freq_regex(t.texts, t.lexicon, fold_case=True))
+query("term_freq_join", regex_sql(False))(lambda t: lx.term_freq_regex(t.texts, t.lexicon, fold_case=True, plan_terms=0))
 query("term_freq_regex_faithful", regex_sql(True))(
     lambda t: lx.term_freq_regex(t.texts, t.lexicon, faithful=True, fold_case=True)
 )

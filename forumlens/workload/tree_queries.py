@@ -31,6 +31,18 @@ def tree_levels_chains(t):
     return tree.levels(chain, [F.col("id")], thread="conv_id").select("conv_id", "id", F.col("level").cast("bigint"))
 
 
+@query(
+    "tree_spans",
+    f"""WITH RECURSIVE {TREE}, placed AS (SELECT thread_id, id, parent_id, path,
+      ROW_NUMBER() OVER (PARTITION BY thread_id ORDER BY path) - 1 AS position FROM walk)
+    SELECT a.thread_id, a.id, a.parent_id, a.position, COUNT(*) AS size FROM placed a
+    JOIN placed b ON a.thread_id = b.thread_id AND b.path[1 : LEN(a.path)] = a.path GROUP BY ALL""",
+)
+def tree_spans(t):
+    """Place of every comment in its thread read from top to bottom, and the size of its subtree."""
+    return tree.spans(t.nodes)
+
+
 def joined(path):
     return F.array_join(F.transform(path, lambda x: x.cast("string")), "_")
 

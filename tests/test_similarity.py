@@ -110,3 +110,50 @@ def test_power_iteration_splits_two_cliques(spark):
     df = spark.createDataFrame(clique("a") + clique("b") + [("a0", "b0", 0.01)], "i string, j string, s double")
     got = {r["group"]: r["cluster"] for r in cl.clusters(df, 2, "s").collect()}
     assert len(got) == 12 and len(set(got.values())) == 2
+
+
+@pytest.mark.parametrize("pruning", [0, 1e18])
+@pytest.mark.parametrize("least", [0.02, 0.25, 0.6, 1.0])
+def test_threshold_join_equals_the_filtered_full_result(membership, least, pruning):
+    sets, m = membership
+    got = {(r["i"], r["j"]): r["jaccard"] for r in sim.jaccard(m, least=least, pruning=pruning, panel=8, block=5).collect()}
+    want = {(a, b): n / len(sets[a] | sets[b]) for (a, b), n in brute(sets).items()}
+    assert got == pytest.approx({p: v for p, v in want.items() if v >= least})
+
+
+def test_threshold_join_makes_ten_times_fewer_pairs(spark):
+    """Everybody shares a frequent member; only neighbours are similar."""
+    data = [(f"g{k}", f"u{5 * (k // 2) + j}") for k in range(300) for j in range(5)] + [(f"g{k}", f"all{j}") for k in range(300) for j in range(3)]
+    m = spark.createDataFrame(data, "group string, member string")
+    groups = sim.numbered(m, "group", "k")
+    base = m.join(groups, "group").select("member", "k")
+    sized = base.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+    made = sim._prefix_pairs(sim._ranked_members(base, sized), 0.8).count()
+    full = sim.jaccard(m)
+    assert made * 10 <= full.count() == 300 * 299 // 2
+    assert rows(sim.jaccard(m, least=0.8)) == rows(full.filter("jaccard >= 0.8"))
+
+
+def single_linkage(names, pairs, k):
+    """Clusters after merging the nearest pair until k are left; missing pairs are at distance 1."""
+    every = sorted((pairs.get(p, 1.0), *p) for p in combinations(sorted(names), 2))
+    label = {n: n for n in names}
+    for _, a, b in every:
+        if len(set(label.values())) <= k:
+            break
+        low, high = sorted((label[a], label[b]))
+        label = {n: low if c == high else c for n, c in label.items()}
+    return label
+
+
+def test_tree_cut_equals_brute_force_for_every_k(spark, membership):
+    sets, m = membership
+    found = {p: 1 - n / len(sets[p[0]] | sets[p[1]]) for p, n in brute(sets).items()}
+    found = {p: d for p, d in found.items() if "g3" not in p}  # two groups apart from all others
+    distances = spark.createDataFrame([(*p, d) for p, d in found.items()], "i string, j string, distance double")
+    groups = spark.createDataFrame([(g,) for g in sets], "group string")
+    tree = cl.merge_tree(distances)
+    assert tree.count() == len(sets) - 3  # 'alone', 'g3' and the rest
+    for k in (1, 2, 3, 4, 9, len(sets), 99):
+        got = {r["group"]: r["cluster"] for r in cl.cut(tree, groups, k).collect()}
+        assert got == single_linkage(list(sets), found, k), k

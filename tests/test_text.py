@@ -1,5 +1,7 @@
 """Lexicon frequencies, n-grams and comment trees."""
 
+import collections
+import random
 from collections import Counter
 
 import pytest
@@ -100,6 +102,36 @@ def test_matrix_has_every_group(spark):
     assert rows(ng.matrix(counts, groups, ["a", "b"])) == [("g", 2, 0), ("h", 0, 0)]
 
 
+@pytest.mark.parametrize("faithful", [False, True])
+def test_patterns_by_join_equal_patterns_in_the_plan(spark, faithful):
+    rng = random.Random(4)
+    pieces = ["cat", "Cat", "the cat", ":)", "!!", "^_^", "c++", "über", "x", "$", "", " ", ",", "cat.", "a.b", "日本", "\\d", "the"]
+    texts = ["".join(rng.choice(pieces) + rng.choice([" ", "  ", "\t", "", ", ", "!", ".", "?", "$", "^", "\n"]) for _ in range(rng.randrange(9)))
+             for _ in range(250)] + [None, ""]
+    df = spark.createDataFrame([(f"g{k % 3}", t) for k, t in enumerate(texts)], "subreddit string, text string")
+    terms = [*pieces, "the  cat", " cat", "cat ", "cat the cat", "! !", "\\E", "missing", "(", "cat cat"]
+    lexicon = spark.createDataFrame([(t, t, "x") for t in terms], "term string, canonical string, list string")
+    few, many = (rows(lx.term_freq_regex(df, lexicon, faithful=faithful, plan_terms=n)) for n in (1000, 0))
+    assert many == few and sum(r[2] for r in many) > 300
+
+
+def test_twenty_thousand_terms_in_one_query(spark):
+    rng = random.Random(8)
+    terms = [f"w{k}" if k % 3 else f"w{k} w{k + 1}" for k in range(20_000)]
+    texts = [" ".join(f"w{rng.randrange(20_000)}" for _ in range(30)) + f" w{3 * k} w{3 * k + 1}." for k in range(300)]
+    df = spark.createDataFrame([("g0" if k % 2 else "g1", t) for k, t in enumerate(texts)], "subreddit string, text string")
+    lexicon = spark.createDataFrame([(t,) for t in terms], "term string")
+    got = {(r["subreddit"], r["term"]): r["count"] for r in lx.term_freq_regex(df, lexicon).collect()}
+    assert len(got) == 40_000
+    want = collections.Counter()
+    for k, t in enumerate(texts):
+        padded = " " + t.replace(".", " ") + " "
+        words = padded.split()
+        pairs = {f"{a} {b}" for a, b in zip(words, words[1:])} | set(words)
+        want.update(("g0" if k % 2 else "g1", p) for p in pairs & set(terms))
+    assert {k: n for k, n in got.items() if n} == dict(want)
+
+
 # ---- trees ---------------------------------------------------------------------------------------------
 
 NODES = "thread_id int, id int, parent_id int, score int, created int, author_name string"
@@ -174,3 +206,30 @@ def test_paths_without_a_width_keep_every_level(spark):
     frame = spark.createDataFrame(data, "thread_id long, id long, parent_id long").selectExpr("*", "0 AS score", "0 AS created")
     got = {r["id"]: r["absolute_position"] for r in tree.paths(frame).collect()}
     assert got == {k: [0] * (k + 1) + [-1] * (39 - k) for k in range(40)}
+
+
+def test_repeated_ids_count_once_and_spans_follow_reading_order(spark):
+    data, parent, df = make_tree(spark)
+    doubled = df.unionAll(df.filter("id % 3 = 0"))
+    want = brute_paths(data)
+    assert rows(tree.levels(doubled)) == rows(tree.levels(df))
+    assert rows(tree.expand(doubled).select("id", "path")) == rows(tree.expand(df).select("id", "path"))
+    assert rows(tree.drop_orphans(doubled)) == rows(tree.drop_orphans(df))
+    got = {r["id"]: (r["position"], r["size"]) for r in tree.spans(doubled).collect()}
+    by_thread = {}
+    for row in data:
+        if row[1] in want:
+            by_thread.setdefault(row[0], []).append(row[1])
+    expected = {}
+    for ids in by_thread.values():
+        for place, i in enumerate(sorted(ids, key=lambda i: want[i])):
+            expected[i] = (place, sum(want[j][: len(want[i])] == want[i] for j in ids))
+    assert got == expected
+
+
+def test_a_chain_of_a_hundred_thousand_comments(spark):
+    n = 100_000
+    chain = spark.range(n).select(F.lit(1).alias("thread_id"), "id", F.when(F.col("id") > 0, F.col("id") - 1).alias("parent_id"))
+    got = tree.levels(chain, [F.col("id")])
+    assert [t for _, t in got.dtypes if t.startswith("array")] == []
+    assert got.filter("level = id").count() == n
