@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from forumlens.llm.text import same, words
+from forumlens.session import freeze
 
 WINDOW = 10
 GRAM = 6
@@ -58,73 +59,85 @@ def _least(df: DataFrame, n: int, of: str, name: str) -> DataFrame:
     return df.withColumn(name, F.col(have))
 
 
-def _hashed(df: DataFrame) -> DataFrame:
-    """Adds n_words and the word hashes."""
-    return df.withColumn("_w", words(F.col("text"))).withColumn("n_words", F.size("_w").cast("long")).withColumn(
-        "_h", F.transform("_w", lambda w: F.xxhash64(w))).drop("_w")
+def hashed(df: DataFrame, keys: list[str]) -> DataFrame:
+    """keys, n_words and the word hashes of every row, stored: all that follows is made of them."""
+    split = df.select(*keys, words(F.col("text")).alias("_w"))
+    return freeze(split.select(*keys, F.size("_w").cast("long").alias("n_words"), F.transform("_w", lambda w: F.xxhash64(w)).alias("_h")), "word_hashes")
 
 
 def fingerprints(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Per run of equal fingerprints: keys, fp, start (first window), windows (their hashes)."""
-    df = _hashed(df).filter(F.col("n_words") >= WINDOW)
+    """Per run of equal fingerprints: keys, fp, start (first window), _h (word hashes of its windows)."""
+    df = df.filter(F.col("n_words") >= WINDOW)
     df = _least(_grams(df, GRAM, "_g"), WINDOW - GRAM + 1, "_g", "_m")
-    df = _grams(df, WINDOW, "_x")
     n = (F.col("n_words") - WINDOW + 1).cast("int")
-    df = df.select(*keys, F.slice("_m", F.lit(1), n).alias("_m"), F.slice("_x", F.lit(1), n).alias("_x"))
+    df = df.select(*keys, "_h", F.slice("_m", F.lit(1), n).alias("_m"))
     starts = F.filter(F.sequence(F.lit(1), F.size("_m")), lambda i: (i == 1) | (F.get("_m", i - 1) != F.get("_m", i - 2)))
     df = df.withColumn("_s", starts)
     runs = F.transform("_s", lambda s, k: F.struct(
         s.alias("start"), F.get("_m", s - 1).alias("fp"),
-        F.slice("_x", s, F.coalesce(F.get("_s", k + 1), F.size("_x") + 1) - s).alias("windows")))
-    return df.select(*keys, F.explode(runs).alias("_r")).select(*keys, "_r.start", "_r.fp", "_r.windows")
+        F.slice("_h", s, F.coalesce(F.get("_s", k + 1), F.size("_m") + 1) - s + WINDOW - 1).alias("_h")))
+    return df.select(*keys, F.explode(runs).alias("_r")).select(*keys, "_r.start", "_r.fp", "_r._h")
 
 
-def _short(df: DataFrame, keys: list[str], n: int) -> DataFrame:
-    """Every gram of n words: keys, start, x."""
-    df = _grams(_hashed(df).filter(F.col("n_words") >= n), n, "_x")
-    df = df.select(*keys, F.posexplode(F.slice("_x", F.lit(1), (F.col("n_words") - n + 1).cast("int"))).alias("start", "x"))
-    return df.withColumn("start", F.col("start") + 1)
+def _windows(df: DataFrame) -> DataFrame:
+    """Adds the hashes of a run's windows."""
+    return _grams(df, WINDOW, "_x").withColumn("windows", F.slice("_x", F.lit(1), F.size("_h") - WINDOW + 1)).drop("_x")
+
+
+def _short(df: DataFrame, keys: list[str], lengths: list[int]) -> DataFrame:
+    """Every gram of the given lengths, in one reading: keys, start, len, x."""
+    df = df.filter(F.col("n_words") >= min(lengths))
+    for n in lengths:
+        df = _grams(df, n, f"_x{n}")
+    of_length = lambda n: F.transform(
+        F.slice(f"_x{n}", F.lit(1), F.greatest(F.col("n_words") - n + 1, F.lit(0)).cast("int")),
+        lambda x, k: F.struct((k + 1).alias("start"), F.lit(n).alias("len"), x.alias("x")))
+    return df.select(*keys, F.inline(F.concat(*map(of_length, lengths))))
 
 
 def item_windows(items: DataFrame) -> DataFrame:
-    """fp (null for short items), x (hash of the window), len, item_id."""
-    items = items.select("item_id", "text")
-    full = fingerprints(items, ["item_id"]).select("fp", F.explode("windows").alias("x"), F.lit(WINDOW).alias("len"), "item_id")
-    return full.distinct()
+    """fp, x (hash of the window), len, item_id of items of a window or more."""
+    runs = _windows(fingerprints(items, ["item_id"]))
+    return runs.select("fp", F.explode("windows").alias("x"), F.lit(WINDOW).alias("len"), "item_id").distinct()
 
 
 def short_lengths(items: DataFrame) -> list[int]:
     """Lengths below WINDOW that some item has (at most WINDOW - 1 of them)."""
-    sized = items.select(F.size(words(F.col("text"))).alias("n")).filter((F.col("n") > 0) & (F.col("n") < WINDOW))
-    return sorted(r[0] for r in sized.distinct().collect())
+    sized = items.filter((F.col("n_words") > 0) & (F.col("n_words") < WINDOW))
+    return sorted(r[0] for r in sized.select("n_words").distinct().collect())
 
 
-def hits(docs: DataFrame, items: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Hit windows (doc_id, th, start, len, x) and the items of every window (x, len, item_id)."""
-    source = docs.select("doc_id", F.xxhash64("text").alias("th"), "text")
-    wanted = item_windows(items)
-    prints = fingerprints(source, DOC)
+def hits(source: DataFrame, items: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Hit windows (doc_id, th, start, len, x) and the items of every window (x, len, item_id), from the stored word hashes."""
+    wanted = freeze(item_windows(items), "item_windows")
     known = wanted.select(F.col("fp").alias("_fp"), "x").distinct().groupBy("_fp").agg(F.collect_set("x").alias("_xs"))
-    met = prints.join(known, F.col("fp") == F.col("_fp"))
+    # Windows are hashed for runs whose fingerprint is an item's, and for no others.
+    met = _windows(fingerprints(source, DOC).join(known, F.col("fp") == F.col("_fp")))
     inside = F.filter(
         F.transform("windows", lambda x, k: F.struct((F.col("start") + k).alias("start"), x.alias("x"))),
         lambda w: F.array_contains("_xs", w["x"]))
     found = met.select(*DOC, F.inline(inside)).select(*DOC, "start", F.lit(WINDOW).alias("len"), "x")
     owners = wanted.select("x", "len", "item_id")
-    for n in short_lengths(items):
-        few = items.select("item_id", "text").filter(F.size(words(F.col("text"))) == n)
-        few = _short(few, ["item_id"], n).select("x", F.lit(n).alias("len"), "item_id").distinct()
-        known = few.select(F.col("x").alias("_x")).distinct()
-        grams = _short(source, DOC, n).join(known, F.col("x") == F.col("_x"), "left_semi")
-        found = found.unionByName(grams.select(*DOC, "start", F.lit(n).alias("len"), "x"))
+    lengths = short_lengths(items)
+    if lengths:
+        few = _short(items, ["item_id", "n_words"], lengths).filter(F.col("len") == F.col("n_words")).select("x", "len", "item_id").distinct()
+        known = few.select(F.col("x").alias("_x"), F.col("len").alias("_len")).distinct()
+        grams = _short(source, DOC, lengths).join(known, (F.col("x") == F.col("_x")) & (F.col("len") == F.col("_len")), "left_semi")
+        found = found.unionByName(grams.select(*DOC, "start", "len", "x"))
         owners = owners.unionByName(few)
     return found, owners
 
 
+def _hashed_both(docs: DataFrame, items: DataFrame) -> tuple[DataFrame, DataFrame]:
+    source = docs.select("doc_id", F.xxhash64("text").alias("th"), "text")
+    return hashed(source, DOC), hashed(items.select("item_id", "text"), ["item_id"])
+
+
 def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
     """Per row of ``docs``: doc_id, n_words, n_hit, n_items, items_sha256, contaminated."""
-    docs = docs.select("doc_id", "text")
-    found, owners = hits(docs, items)
+    source, items = _hashed_both(docs, items)
+    found, owners = hits(source, items)
+    found = freeze(found, "hits")
     spans = found.groupBy(*DOC).agg(F.array_sort(F.collect_set(F.struct("start", (F.col("start") + F.col("len")).alias("stop")))).alias("s"))
     # The windows stand in order of their start: each adds what lies beyond the furthest stop so far.
     covered = F.aggregate(
@@ -140,7 +153,7 @@ def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
     named = named.select(
         F.col("doc_id").alias("_d2"), F.col("th").alias("_t2"), F.size("i").cast("long").alias("n_items"),
         F.array_join(F.array_sort(F.array_remove("i", "\0")), ",").alias("ids"))
-    rows = docs.select("doc_id", F.xxhash64("text").alias("th"), F.size(words(F.col("text"))).cast("long").alias("n_words"))
+    rows = source.select(*DOC, "n_words")
     spans = spans.select(F.col("doc_id").alias("_d1"), F.col("th").alias("_t1"), "n_hit")
     both = spans.join(named, same(["_d1", "_t1"], ["_d2", "_t2"]))
     joined = rows.join(both, same(DOC, ["_d1", "_t1"]), "left")
@@ -152,6 +165,6 @@ def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 def drop_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """Documents without any benchmark window."""
-    found, _ = hits(docs.select("doc_id", "text"), items)
+    found, _ = hits(*_hashed_both(docs, items))
     bad = found.select(F.col("doc_id").alias("_d"), F.col("th").alias("_t")).distinct()
     return docs.withColumn("_th", F.xxhash64("text")).join(bad, same(["doc_id", "_th"], ["_d", "_t"]), "left_anti").drop("_th")
