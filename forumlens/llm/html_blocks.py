@@ -233,7 +233,9 @@ def main_text(html: str | None) -> str:
         surge = n > 0 or surge and sums[i] > 0  # until the dive
         if surge:
             peak, total, own = regions[-1]
-            regions[-1] = (max(peak, sums[i]), total + n, own + [k] if n else own)
+            if n:
+                own.append(k)
+            regions[-1] = (max(peak, sums[i]), total + n, own)
     if not regions:
         return ""
     masses: dict[int, int] = {}  # of the landmarks

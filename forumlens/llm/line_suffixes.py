@@ -1,6 +1,6 @@
 """Removal of repeated line runs by a suffix array over line ids, in DataFrame operations only.
 
-Non-blank lines (trimmed) become 128-bit ids.  Only ids that occur twice can belong to a repeated
+Non-blank lines become 128-bit ids; white space at their ends doesn't count, and any run of it within is one blank.  Only ids that occur twice can belong to a repeated
 run, so a suffix reaches from such a line to the end of its unbroken stretch of such lines.
 
 * Suffix ranks by prefix doubling: round k orders the suffixes of one class (equal first 2^k lines)
@@ -14,7 +14,7 @@ run, so a suffix reaches from such a line to the end of its unbroken stretch of
   positions (``longest_earlier``).  Equal suffixes, the hot case, are one entry of the array; all but
   the first of them have an earlier copy to the end.
 
-A run of at least ``min_words`` blank-separated words that occurred before (documents in order of
+A run of at least ``min_words`` words (parted by white space) that occurred before (documents in order of
 doc_id, then of the text's hash) is deleted; its first copy stays.  Blank lines inside a deleted run
 go with it.
 
@@ -24,7 +24,7 @@ document and get one result; a document may lose all its lines (``n_left`` 0).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from forumlens.llm.text import same
@@ -33,11 +33,19 @@ from forumlens.session import freeze
 MIN_WORDS = 50
 DOC = ["doc_id", "th"]
 LINE = ["h1", "h2"]
+# White space of any kind within a line, and any beyond single blanks.
+SPACE = r"[\s\p{Z}\x85\x1c-\x1f&&[^\n]]+"
+ODD_SPACE = r"  |[\s\p{Z}\x85\x1c-\x1f&&[^\n ]]"
+
+
+def _plain(text: Column) -> Column:
+    """Every run of white space but line ends as one blank; most texts have none but single blanks."""
+    return F.when(text.rlike(ODD_SPACE), F.regexp_replace(text, SPACE, " ")).otherwise(text)
 
 
 def line_table(docs: DataFrame) -> DataFrame:
     """One row per non-blank line: doc_id, th, pos (among such lines), raw (among all), id, words."""
-    lines = F.transform(F.split("text", "\n", -1), lambda x, i: F.struct(F.trim(x).alias("s"), i.alias("raw")))
+    lines = F.transform(F.split(_plain(F.col("text")), "\n", -1), lambda x, i: F.struct(F.trim(x).alias("s"), i.alias("raw")))
     named = F.transform(
         F.filter(lines, lambda x: x["s"] != ""),
         lambda x: F.struct(
@@ -229,5 +237,5 @@ def drop_repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame
     kept = F.filter(lines, lambda x, i: ~F.exists("_cuts", lambda c: (i >= c["from"]) & (i <= c["to"])))
     text = F.when(F.col("_cuts").isNull(), F.col("text")).otherwise(F.concat_ws("\n", kept))
     cut = joined.withColumn("text", text).withColumn("n_removed", F.coalesce("_removed", F.lit(0)).cast("long"))
-    left = F.size(F.filter(F.split(F.coalesce("text", F.lit("")), "\n", -1), lambda x: F.trim(x) != "")).cast("long")
+    left = F.size(F.filter(F.split(_plain(F.coalesce("text", F.lit(""))), "\n", -1), lambda x: F.trim(x) != "")).cast("long")
     return cut.withColumn("n_left", left).drop("_d", "_t", "_th", "_cuts", "_removed")

@@ -13,8 +13,8 @@ lowers a score.
 
 Scores need only the text; labels, language, source and id are never inputs.
 
-Defined results: null or empty text is scored by the intercept; labels are joined by doc_id, several labels of one id count
-as the highest, null labels not at all; without a label 1 and a label 0 in training there is nothing to learn: all scores are 0.25.
+Defined results: null or empty text is scored by the intercept; labels are joined by doc_id, any above 0 is 1 and others 0, several
+labels of one id count as the highest, null labels not at all; without a label 1 and a label 0 in training there is nothing to learn: all scores are 0.25.
 Repeated rows get equal scores.
 """
 
@@ -70,7 +70,7 @@ class Features:
         found = self.known.get(word)
         if found is None:
             chars = word.decode(errors="replace")
-            names = {b"w:" + word[:64], *(b"p:" + chars[:n].encode() for n in PREFIXES if len(chars) >= n)}
+            names = {b"w:" + word, *(b"p:" + chars[:n].encode() for n in PREFIXES if len(chars) >= n)}
             found = tuple(sorted({_bucket(n) for n in names}))
             if self.kept is not None:
                 found = tuple(self.kept[b] for b in found if b in self.kept)
@@ -92,7 +92,7 @@ def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     Labels grow with the documents, so they are merged at every size and never broadcast.
     """
-    known = labels.filter(F.col("toxic").isNotNull()).groupBy(F.col("doc_id").alias("_id")).agg(F.max("toxic").cast("int").alias("label"))
+    known = labels.filter(F.col("toxic").isNotNull()).groupBy(F.col("doc_id").alias("_id")).agg(F.max((F.col("toxic") > 0).cast("int")).alias("label"))
     return docs.filter(fold(F.col("doc_id")) != 0).join(known.hint("merge"), F.col("doc_id") == F.col("_id")).drop("_id")
 
 
