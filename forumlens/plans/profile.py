@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from forumlens.functions.scalars import whole_days
@@ -156,7 +156,7 @@ def domain_names(gilded: bool = False) -> dict[str, str]:
     return _thread_names("domain", "domain_{n}", "domain_{n}", "domain_count", gilded)
 
 
-def _totals(rows: DataFrame, unit: str) -> DataFrame:
+def _totals(rows: DataFrame, unit: str, more: list[str] = []) -> DataFrame:
     cols = [
         F.col("username"),
         F.col("score_sum").alias(f"total_{unit}_score"),
@@ -167,7 +167,8 @@ def _totals(rows: DataFrame, unit: str) -> DataFrame:
         F.col("pos").alias(f"total_positive_{unit}s"),
         F.col("gold").alias(f"historic_total_{unit}_gold"),
     ]
-    return rows.select(*cols, *([_mean_length()] if unit == "comment" else []), F.col("last").alias(f"last_{unit}_timestamp"))
+    length = [_mean_length()] if unit == "comment" else []
+    return rows.select(*cols, *length, F.col("last").alias(f"last_{unit}_timestamp"), *more)
 
 
 def user_comments(comments: DataFrame, low: int = -4, high: int = 20) -> DataFrame:
@@ -242,8 +243,37 @@ def compare(users1: DataFrame, users2: DataFrame, opts: ProfileOptions = Profile
     return historic(users1, opts).join(followup(users2, opts), "username", "left")
 
 
-def _ranked_wide(stats: DataFrame, n: int, count: str, tie: str, names: dict[str, str]) -> DataFrame:
-    return widen(top_n(stats, n, count, tie, name="_rank"), n, names, "_rank")
+def _cells(kind: str, key: str, n: int, count: str, names: dict[str, str]) -> list:
+    """Output columns of the ``n`` first ranks of one kind of row."""
+    sources = {
+        count: F.col("n"), key: F.col(f"_{kind}"), "total_score": F.col("score_sum"), "total_gold": F.col("gold"),
+        "total_silver": F.col("silver"), "total_platinum": F.col("platinum"),
+        "average_comment_length": F.try_divide(F.col("length_sum").cast("double"), F.col("length_n")),
+        **{f"total_{sign}_{unit}": F.col(sign[:3]) for sign in ("negative", "positive") for unit in ("comments", "threads")}}
+    return [
+        F.max(F.when((F.col("_kind") == kind) & (F.col("_rank") == k), sources[source])).alias(target.format(n=k))
+        for k in range(1, n + 1) for source, target in names.items()]
+
+
+def _per_member(summary: DataFrame, unit: str, kinds: dict[str, str], cells: list) -> DataFrame:
+    """Totals and ranked columns of every member, from a summary that is dealt by member once.
+
+    Every row counts in each of ``kinds`` (name to key column); the first one's rows make the totals.  Grouping, ranking and the
+    last aggregation all keep the member's placement, and so does the join that follows.
+    """
+    null = lambda c: F.lit(None).cast(summary.schema[c].dataType)
+    views = [F.struct(F.lit(kind).alias("_kind"), *((F.col(c) if other == kind else null(c)).alias(f"_{other}") for other, c in kinds.items()))
+             for kind in kinds]
+    placed = summary.repartition("username")
+    keyed = placed.select("username", *SUMS, "last", F.inline(F.array(*views)))
+    rows = rollup(keyed, ["username", "_kind", *(f"_{k}" for k in kinds)])
+    order = [F.col("n").desc(), *(F.col(f"_{k}").asc_nulls_last() for k in kinds)]
+    ranked = rows.withColumn("_rank", F.row_number().over(Window.partitionBy("username", "_kind").orderBy(*order)))
+    main = F.col("_kind") == next(iter(kinds))
+    sums = [F.sum(F.when(main, F.col(c))).alias(c) for c in SUMS]
+    wide = ranked.groupBy("username").agg(*sums, F.max("last").alias("last"), *cells)
+    names = [c for c in wide.columns if c not in ("username", "last", *SUMS)]
+    return _totals(wide, unit, names)
 
 
 def profile(users1: DataFrame, users2: DataFrame, comments: DataFrame, threads: DataFrame,
@@ -259,23 +289,17 @@ def profile(users1: DataFrame, users2: DataFrame, comments: DataFrame, threads:
     # A NULL author joins no user, so it need not be shuffled at all.
     comments = comments.filter(F.col("author_name").isNotNull())
     threads = threads.filter(F.col("author_name").isNotNull())
-    # One scan of each activity table; all parts below read its much smaller summary.
+    # One scan of each activity table, combined before its shuffle; the much smaller summary is then dealt by member
+    # once, for its totals, its ranks and the join.
     group = opts.group
     c = freeze(summarise(comments, [group], opts.comment_low, opts.comment_high), "comment-summary")
     t = freeze(summarise(threads, [group, "domain"], opts.thread_low, opts.thread_high), "thread-summary")
-    by_thread_group = _activity(rollup(t, [group, "username"]), group, "threads", "thread_count", opts.gilded)
-    by_domain = _activity(rollup(t, ["domain", "username"]), "domain", "threads", "domain_count", opts.gilded)
-    parts = [
-        _totals(rollup(c, ["username"]), "comment"),
-        _totals(rollup(t, ["username"]), "thread"),
-        _ranked_wide(_activity(c, group, "comments", "comment_count", opts.gilded), opts.n_comment_groups,
-                     "comment_count", group, comment_names(opts.gilded, group)),
-        _ranked_wide(by_thread_group, opts.n_thread_groups, "thread_count", group, thread_names(opts.gilded, group)),
-        _ranked_wide(by_domain, opts.n_domains, "domain_count", "domain", domain_names(opts.gilded)),
-    ]
+    by_comment = _cells("group", group, opts.n_comment_groups, "comment_count", comment_names(opts.gilded, group))
+    by_thread = _cells("group", group, opts.n_thread_groups, "thread_count", thread_names(opts.gilded, group))
+    by_domain = _cells("domain", "domain", opts.n_domains, "domain_count", domain_names(opts.gilded))
     out = compare(base, users2, opts)
-    for part in parts:
-        out = out.join(part, "username", "left")
+    out = out.join(_per_member(c, "comment", {"group": group}, by_comment), "username", "left")
+    out = out.join(_per_member(t, "thread", {"group": group, "domain": "domain"}, by_thread + by_domain), "username", "left")
     return out.withColumn("bad_flag", bad_flag())
 
 

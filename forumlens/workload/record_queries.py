@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 from forumlens.functions import scalars as sc
 from forumlens.operators import merge as mg
 from forumlens.operators import normalize as nz
+from forumlens.operators import records as rec
 from forumlens.operators.ranking import first_by_key, latest
 from forumlens.operators.select import in_list, last_seen
 from forumlens.session import scratch_path
@@ -133,6 +134,48 @@ def epoch_pair(t):
     return t.comments.select("id", epoch.alias("epoch")).select("id", *sc.epoch_pair("epoch", "-05:00"))
 
 
+def seconds(c: str):
+    return F.timestamp_diff("SECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col(c)).cast("double")
+
+
+@query(
+    "comment_records",
+    """SELECT CAST(id AS VARCHAR) AS id, author_name, subreddit, CONCAT('x', thread_id) AS thread_id, CONCAT('t3_x', thread_id) AS parent_id,
+      text, score, gold, silver, platinum, gold = 1 AS is_distinguished, CASE WHEN silver = 1 THEN created - INTERVAL 5 HOUR END AS edited,
+      created - INTERVAL 5 HOUR AS created, created AS created_utc, timestamp - INTERVAL 5 HOUR AS timestamp, 'thread' AS scrape_mode FROM comments""",
+)
+def comment_records(t):
+    """Whole nested records, as an API returns them, to rows of the stored schema."""
+    name = F.concat(F.lit("t3_x"), "thread_id")
+    raw = t.comments.select(
+        F.col("id").cast("string").alias("id"), F.when(F.col("author_name").isNotNull(), F.struct(F.col("author_name").alias("name"))).alias("author"),
+        F.struct(F.col("subreddit").alias("display_name")).alias("subreddit"), name.alias("link_id"), name.alias("parent_id"),
+        F.col("text").alias("body"), "score", F.col("gold").alias("gilded"),
+        F.create_map(F.lit("gid_1"), "silver", F.lit("gid_3"), "platinum").alias("gildings"),
+        F.when(F.col("gold") == 1, "moderator").alias("distinguished"),
+        F.when(F.col("silver") == 1, seconds("created").cast("string")).otherwise("false").alias("edited"),
+        seconds("created").alias("created_utc"), seconds("timestamp").alias("seen_utc"))
+    rows = rec.comment_rows(raw, "thread", "-05:00")
+    return rows.select("id", "author_name", "subreddit", "thread_id", "parent_id", "text", "score", "gold", "silver", "platinum",
+                       "is_distinguished", "edited", "created", "created_utc", "timestamp", "scrape_mode")
+
+
+@query(
+    "thread_records",
+    """SELECT CAST(id AS VARCHAR) AS id, author_name, subreddit, domain, score, num_comments, gold, silver, platinum,
+      'minimal' AS scrape_mode, created, timestamp AS timestamp_utc FROM threads""",
+)
+def thread_records(t):
+    raw = t.threads.select(
+        F.col("id").cast("string").alias("id"), F.when(F.col("author_name").isNotNull(), F.struct(F.col("author_name").alias("name"))).alias("author"),
+        F.struct(F.col("subreddit").alias("display_name")).alias("subreddit"), "domain", "score", "num_comments", F.col("gold").alias("gilded"),
+        F.create_map(F.lit("gid_1"), "silver", F.lit("gid_3"), "platinum").alias("gildings"),
+        seconds("created").alias("created_utc"), seconds("timestamp").alias("seen_utc"))
+    rows = rec.thread_rows(raw, "minimal")
+    return rows.select("id", "author_name", "subreddit", "domain", "score", "num_comments", "gold", "silver", "platinum",
+                       "scrape_mode", "created", "timestamp_utc")
+
+
 @query(
     "edited_nullable",
     """SELECT id, CASE WHEN gold = 1 THEN NULL WHEN silver = 1 THEN NULL ELSE created END AS edited FROM comments""",
