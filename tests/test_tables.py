@@ -262,3 +262,27 @@ def test_insert_or_ignore_keeps_the_first_in_order(spark):
     for parts in (1, 2, 4):
         got = append_missing(target, new.repartition(parts), "id", [F.col("at")])
         assert rows(got) == [(1, 3, "z"), (2, 1, "c")]
+
+
+def test_profile_deals_each_activity_table_by_member_once(spark):
+    users = spark.createDataFrame(
+        [(f"u{k}", f"i{k}", 1, 1, False, False, T0, None, None, *[0] * 6, T0) for k in range(9)],
+        "username string, id string, comment_karma int, post_karma int, is_mod boolean, is_gold boolean, account_created timestamp_ntz, "
+        "shadowbanned_by_date timestamp_ntz, suspended_by_date timestamp_ntz, " + ", ".join(f"{g} int" for g in prof.GILDINGS) + ", timestamp timestamp_ntz")
+    rows_ = [(f"u{k % 9}", f"g{k % 5}", f"d{k % 3}", k % 7, 0, 0, 0, "x" * (k % 4), T0) for k in range(200)]
+    acts = spark.createDataFrame(rows_, "author_name string, subreddit string, domain string, score int, gold int, silver int, platinum int, text string, created timestamp_ntz")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = prof.profile(users, users, acts, acts)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange ") == 4  # two snapshots, two activity tables
+        got = {r["username"]: r for r in out.collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    mine = [r for r in rows_ if r[0] == "u0"]
+    by_group = sorted(((-sum(r[1] == g for r in mine), g) for g in {r[1] for r in mine}))
+    by_domain = sorted(((-sum(r[2] == d for r in mine), d) for d in {r[2] for r in mine}))
+    assert (got["u0"]["comment_count"], got["u0"]["total_thread_score"]) == (len(mine), sum(r[3] for r in mine))
+    assert [(-got["u0"][f"subreddit_{k}_comment_count"], got["u0"][f"subreddit_{k}_comments"]) for k in (1, 2, 3)] == by_group[:3]
+    assert [(-got["u0"][f"domain_{k}_thread_count"], got["u0"][f"domain_{k}"]) for k in range(1, len(by_domain) + 1)] == by_domain
