@@ -12,8 +12,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from forumlens.functions.scalars import Z_95, ratio as ratio_of, wilson_bounds
-from forumlens.operators.ranking import exact_rank, ordinal as dense_ordinal
+from forumlens.operators.ranking import ordinal as dense_ordinal
 from forumlens.operators.select import as_ntz, in_list
+from forumlens.operators.selection import five_number  # noqa: F401
 from forumlens.session import freeze
 
 # Characters that separate tokens.
@@ -227,25 +228,6 @@ def outliers(df: DataFrame, r: float, p: float) -> DataFrame:
     return df.filter((F.col("ratio") > r) & (F.col("relative") > p))
 
 
-def five_number(df: DataFrame, key: str = "term", value: str = "ratio") -> DataFrame:
-    """Minimum, quartiles and maximum per key, interpolated between ranks.
-
-    Picks the needed ranks out of a distributed ranking, so no key's values are gathered.
-    """
-    present = df.filter(F.col(value).isNotNull()).select(key, F.col(value).cast("double").alias(value))
-    ranked = exact_rank(present, [F.col(value)], [key], "_rn")
-    sizes = ranked.groupBy(key).agg(F.max("_rn").alias("_n"))
-    joined = ranked.join(sizes, key)
-    cells = []
-    for name, q in [("min", 0.0), ("q1", 0.25), ("median", 0.5), ("q3", 0.75), ("max", 1.0)]:
-        at = F.lit(q) * (F.col("_n") - 1)
-        low = F.max(F.when(F.col("_rn") - 1 == F.floor(at), F.col(value)))
-        high = F.max(F.when(F.col("_rn") - 1 == F.ceil(at), F.col(value)))
-        part = F.max(at - F.floor(at))
-        cells.append((low + (high - low) * part).alias(name))
-    return joined.groupBy(key).agg(*cells)
-
-
 def row_counts(df: DataFrame, group: str = "subreddit") -> DataFrame:
     """Rows per group, largest first."""
     return df.groupBy(group).agg(F.count(F.lit(1)).alias("count")).orderBy(F.col("count").desc(), group)
