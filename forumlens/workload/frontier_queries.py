@@ -223,6 +223,25 @@ def expand_related(t):
     return sel.k_hop(both, seeds, 3, exclude)
 
 
+@query(
+    "expand_related_in_range",
+    f"""WITH RECURSIVE {EDGES}, s AS (SELECT a AS subreddit, COUNT(DISTINCT b) AS subscribers FROM e GROUP BY a),
+      walk(subreddit, hop) AS (
+      SELECT DISTINCT {HOST_SQL}, 0 FROM pages WHERE url LIKE '%page=2%'
+      UNION SELECT e.b, walk.hop + 1 FROM walk JOIN e ON e.a = walk.subreddit JOIN s ON s.subreddit = e.b
+        WHERE walk.hop < 3 AND s.subscribers BETWEEN 2 AND 60)
+    SELECT subreddit, CAST(MIN(hop) AS INT) AS hop FROM walk GROUP BY subreddit""",
+)
+def expand_related_in_range(t):
+    """Only groups whose size (here: groups they are linked to) is in a range are returned and expanded."""
+    rows = page_mentions(t).select("subreddit", "related_subreddit")
+    both = rows.unionByName(
+        rows.select(F.col("related_subreddit").alias("subreddit"), F.col("subreddit").alias("related_subreddit")))
+    seeds = t.pages.filter(F.col("url").contains("page=2")).select(sc.domain("url").alias("subreddit"))
+    sizes = both.dropna().groupBy("subreddit").agg(F.count_distinct("related_subreddit").alias("subscribers"))
+    return sel.k_hop(both, seeds, 3, sizes=sizes, min_size=2, max_size=60)
+
+
 @query("newest_per_group", TURNS + " WHERE turn <= 10")
 def newest_per_group(t):
     order = [F.col("created").desc(), F.col("id")]
