@@ -33,14 +33,14 @@ from forumlens.session import freeze
 MIN_WORDS = 50
 DOC = ["doc_id", "th"]
 LINE = ["h1", "h2"]
-# White space of any kind within a line, and any beyond single blanks.
-SPACE = r"[\s\p{Z}\x85\x1c-\x1f&&[^\n]]+"
-ODD_SPACE = r"  |[\s\p{Z}\x85\x1c-\x1f&&[^\n ]]"
+# White space within a line but for the blank: ASCII and Unicode separators.
+ODD_SPACE = r"\t\x0B\f\r\x1C-\x1F\x85\u00A0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
 
 
 def _plain(text: Column) -> Column:
     """Every run of white space but line ends as one blank; most texts have none but single blanks."""
-    return F.when(text.rlike(ODD_SPACE), F.regexp_replace(text, SPACE, " ")).otherwise(text)
+    odd = text.contains("  ") | text.rlike(f"[{ODD_SPACE}]")
+    return F.when(odd, F.regexp_replace(text, f"[ {ODD_SPACE}]+", " ")).otherwise(text)
 
 
 def line_table(docs: DataFrame) -> DataFrame:
