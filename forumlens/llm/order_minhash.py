@@ -12,9 +12,10 @@ similarity that heeds order, over all occurrences or over first occurrences, whi
 
 Texts with equal words are one node from the start.  A bucket of more than ``DIRECT`` nodes is
 worked off by leaders: the least node is compared with all members outside its component and
-leaves; later rounds take sixteen times as many leaders.  After the first round the shingles that only one
-node of the open buckets has are counted; they bound the similarity of a pair from above, and pairs out of
-reach are not compared.  A bucket is closed when its members form one component or all its cross pairs have been
+leaves; later rounds take 16, 4,096 and more leaders.  After the first round the shingles that only one
+node of the open buckets has are counted, and every node gets a bitmap of ``BITS`` bits of its shingles: a bit that the other
+node lacks is a shingle it lacks.  Both bound the similarity of a pair from above, and pairs out of reach are not compared.
+Nodes with the smallest share of shingles of their own lead: they are the ones that near copies have in common.  A bucket is closed when its members form one component or all its cross pairs have been
 compared or ruled out, so no candidate pair of different components stays untested, while a group of n near
 copies costs about n comparisons.
 
@@ -28,6 +29,7 @@ from __future__ import annotations
 import bisect
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -43,6 +45,7 @@ THRESHOLD = 0.8
 SKETCHES = 16  # at similarity 0.8 about half of the sketches agree: a miss in 100,000
 TUPLE = 3
 DIRECT = 4
+BITS = 512
 SLICE = 1 << 20
 
 _U = np.uint64
@@ -309,13 +312,38 @@ def _singles(texts: DataFrame) -> DataFrame:
     return alone.groupBy("_n").agg(F.count(F.lit(1)).alias("_u"), F.sum("one").alias("_ud"))
 
 
+def _bit_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Bitmaps of a node's labelled shingles and of its first occurrences, and how many bits they have."""
+    kind = pa.list_(pa.int64())
+    for batch in batches:
+        words: tuple[list[np.ndarray], ...] = ([], [])
+        sizes: tuple[list[int], ...] = ([], [])
+        for values, firsts in zip(batch.column(1), batch.column(2)):
+            keys, first = _stored(values.as_py(), firsts.as_py())
+            for k, some in enumerate((keys, keys[first])):
+                bits = np.zeros(BITS, dtype=bool)
+                bits[(some % _U(BITS)).astype(np.int64)] = True
+                words[k].append(np.packbits(bits, bitorder="little").view("<i8"))
+                sizes[k].append(int(bits.sum()))
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), *(pa.array(x, kind) for x in words), *(pa.array(x, pa.int64()) for x in sizes)], names=["node", "b", "bd", "p", "pd"])
+
+
 def _within_reach(threshold: float):
-    """Whether two nodes can be as similar as that: shingles that only one of them has are never shared."""
-    def reach(n: str, u: str):
-        common = F.least(F.col(n) - F.col(u), F.col(f"{n}2") - F.col(f"{u}2"))
-        return common >= F.lit(threshold - 1e-9) * (F.col(n) + F.col(f"{n}2") - common)
+    """Whether two nodes can be as similar as that: shingles that only one of them has, or whose bit the other lacks, are not shared."""
+    share = (threshold - 1e-9) / (1 + threshold)
+
+    def reach(n: str, u: str, b: str, p: str):
+        word = lambda c, k: F.get(F.col(c), F.lit(k))
+        both = reduce(lambda x, y: x + y, [F.bit_count(word(b, k).bitwiseAND(word(f"{b}2", k))) for k in range(BITS // 64)])
+        enough = share * (F.col(n) + F.col(f"{n}2"))
+        alone = F.least(F.col(n) - F.col(u), F.col(f"{n}2") - F.col(f"{u}2")) >= enough
+        # A shingle whose bit is not among the common ones is lacking on the other side.
+        mapped = F.least(F.col(n) - F.col(p), F.col(f"{n}2") - F.col(f"{p}2")) + both >= enough
+        return alone & F.coalesce(mapped, F.lit(True))
 
-    return reach("n", "u") | reach("nd", "ud")
+    plain = (F.col("n") == F.col("nd")) & (F.col("n2") == F.col("nd2"))
+    return reach("n", "u", "b", "p") | (~plain & reach("nd", "ud", "bd", "pd"))
 
 
 def _candidates(members: DataFrame, leaders: int, threshold: float) -> tuple[DataFrame, DataFrame] | None:
@@ -328,9 +356,9 @@ def _candidates(members: DataFrame, leaders: int, threshold: float) -> tuple[Dat
     if live.isEmpty():
         return None
     direct, large = live.filter("direct"), live.filter("not direct")
-    first = Window.partitionBy("bucket").orderBy("node")
+    first = Window.partitionBy("bucket").orderBy(F.col("u") / F.col("n"), "node")
     led = freeze(large.withColumn("_at", F.row_number().over(first)).filter(F.col("_at") <= leaders).drop("_at"), "leaders")
-    renamed = [F.col(c).alias(f"{c}2") for c in ("bucket", "node", "n", "nd", "u", "ud", "label")]
+    renamed = [F.col(c).alias(f"{c}2") for c in ("bucket", "node", "n", "nd", "u", "ud", "b", "bd", "p", "pd", "label")]
 
     def pairs(left: DataFrame, right: DataFrame, ordered: bool) -> DataFrame:
         on = (F.col("bucket") == F.col("bucket2")) & (F.col("label") != F.col("label2")) & _within_reach(threshold)
@@ -358,8 +386,9 @@ def near_links(docs: DataFrame, sketched: DataFrame, threshold: float = THRESHOL
     texts = freeze(
         docs.select("doc_id", "text", F.xxhash64("text").alias("th")).join(at, same(["doc_id", "th"], ["_id", "_th"]))
         .select("node", "text").dropDuplicates(["node"]).mapInArrow(_label_batches, "node binary, values binary, firsts binary"), "texts")
-    zero = F.lit(0).cast("long")
-    members, labels, links, tested, leaders = members.withColumns({"label": F.col("node"), "u": zero, "ud": zero}), None, None, None, 1
+    zero, none = F.lit(0).cast("long"), F.lit(None).cast("array<long>")
+    members = members.withColumns({"label": F.col("node"), "u": zero, "ud": zero, "b": none, "bd": none, "p": zero, "pd": zero})
+    labels, links, tested, leaders = None, None, None, 1
     while (step := _candidates(members, leaders, threshold)) is not None:
         fresh, members = step
         if tested is not None:
@@ -380,12 +409,14 @@ def near_links(docs: DataFrame, sketched: DataFrame, threshold: float = THRESHOL
         if leaders == 1:
             # What is left are large groups: nodes that differ too much from all others of these leave them.
             there = members.select(F.col("node").alias("_m")).distinct()
-            single = freeze(_singles(texts.join(there, F.col("node") == F.col("_m"), "left_semi")), "singles")
-            members = members.drop("u", "ud").join(single, F.col("node") == F.col("_n"), "left")
+            left = freeze(texts.join(there, F.col("node") == F.col("_m"), "left_semi"), "open_texts")
+            single = freeze(_singles(left), "singles")
+            bits = left.mapInArrow(_bit_batches, "node binary, b array<long>, bd array<long>, p long, pd long")
+            members = members.drop("u", "ud", "b", "bd", "p", "pd").join(bits, "node").join(single, F.col("node") == F.col("_n"), "left")
             members = members.withColumns({"u": F.coalesce("_u", zero), "ud": F.coalesce("_ud", zero)}).drop("_n", "_u", "_ud")
             members = members.filter(
                 (F.col("n") - F.col("u") >= (threshold - 1e-9) * F.col("n")) | (F.col("nd") - F.col("ud") >= (threshold - 1e-9) * F.col("nd")))
-        leaders *= 16
+        leaders *= 16 if leaders == 1 else 256
     return labels
 
 

@@ -1,8 +1,9 @@
 """Nothing of a text or label is cut off or dropped: white space, long words, unusual labels, very many lines."""
 
+import random
 import time
 
-from forumlens.llm import html_blocks, line_suffixes, toxicity, unigram, winnowing
+from forumlens.llm import html_blocks, line_suffixes, order_minhash, toxicity, unigram, winnowing
 from forumlens.llm.text import words_of
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -88,3 +89,26 @@ def test_long_and_short_cuts_have_the_same_best_path(spark):
     coded = unigram.encode(docs(spark, [text, None, ""] * 3), decoded="decoded").collect()
     assert [r["decoded"] for r in coded] == [text, None, ""] * 3
     assert unigram.encode(docs(spark, [])).count() == 0
+
+
+def test_near_copies_around_the_threshold_equal_brute_force(spark):
+    """One base, edited so that many pairs are just above or below the threshold: bounds must not lose a link."""
+    rng = random.Random(12)
+    base = [f"w{rng.randrange(300)}" for _ in range(150)]
+    texts = []
+    for k in range(140):
+        ws = list(base)
+        for at in rng.sample(range(150), 1 + k % 7):
+            ws[at] = f"x{k}y{at}" if k % 3 else f"z{at}"  # some edits are shared
+        texts.append(" ".join(ws[: 150 - k % 11]))
+    grams = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in map(words_of, texts)]
+    label = list(range(len(texts)))
+    find = lambda x: x if label[x] == x else find(label[x])
+    links = 0
+    for a in range(len(texts)):
+        for b in range(a):
+            if len(grams[a] & grams[b]) >= 0.8 * len(grams[a] | grams[b]):
+                links += 1
+                label[max(find(a), find(b))] = min(find(a), find(b))
+    got = {r["doc_id"]: r["class_id"] for r in order_minhash.near_duplicates(docs(spark, texts)).collect()}
+    assert got == {k: find(k) for k in range(len(texts))} and links > 100 and len(set(got.values())) > 3
