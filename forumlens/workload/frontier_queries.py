@@ -167,7 +167,8 @@ TURNS = """SELECT id, subreddit, turn FROM (SELECT id, subreddit, ROW_NUMBER() O
 @query("round_robin", TURNS + " WHERE turn <= 15000")
 def round_robin(t):
     order = [F.col("created").desc(), F.col("id")]
-    return sel.interleave(t.threads.select("id", "subreddit", "created"), "subreddit", order).select("id", "subreddit", "turn")
+    queued = sel.interleave(t.threads.select("id", "subreddit", "created"), "subreddit", order, 15000)
+    return queued.select("id", "subreddit", "turn")
 
 
 @query("shuffle", "SELECT id, author_name FROM threads")
