@@ -1,7 +1,9 @@
 """Results and shapes that only inputs larger than the given ones show."""
 
+import pytest
 from pyspark.sql import functions as F
 
+from forumlens.operators import similarity as sim
 from forumlens.workload import QUERIES
 from forumlens.workload.views import Tables
 
@@ -15,3 +17,41 @@ def test_round_robin_keeps_the_turns_of_its_sql(spark, tmp_path):
     got = QUERIES["round_robin"](Tables(spark, str(tmp_path)))
     assert got.agg(F.count(F.lit(1)), F.max("turn"), F.min("id")).first() == (15_000, 15_000, 97 * 3)
 
+
+
+def communities(spark, n: int = 12, groups: int = 5):
+    """Names that mix the communities, so that neighbours by name are strangers."""
+    data = [(f"g{k % groups}-{k // groups}", f"u{c}-{(c * 7 + k + j) % 9}") for c in range(n) for k in range(c, n * groups, n) for j in range(4)]
+    return spark.createDataFrame(sorted(set(data)), "group string, member string")
+
+
+def counted(m):
+    sets = {}
+    for g, u in m.collect():
+        sets.setdefault(g, set()).add(u)
+    pairs = {(a, b): len(sets[a] & sets[b]) for a in sets for b in sets if a < b}
+    return sets, {p: n for p, n in pairs.items() if n}
+
+
+def test_groups_that_share_members_have_neighbouring_numbers(spark):
+    m = communities(spark)
+    at = {r["group"]: r["k"] for r in sim.located(m).collect()}
+    assert sorted(at.values()) == list(range(len(at)))
+    _, pairs = counted(m)
+    assert all(abs(at[a] - at[b]) < 5 for a, b in pairs)
+
+
+@pytest.mark.parametrize("members", [3, 1 << 18])
+def test_product_of_split_block_pairs_is_exact(spark, monkeypatch, members):
+    monkeypatch.setattr(sim, "MEMBERS_A_TASK", members)
+    m = communities(spark)
+    sets, pairs = counted(m)
+    got = {(r["i"], r["j"]): r["common"] for r in sim.overlap(m, 0, 4, 2).collect()}
+    assert got == pairs
+    near = {(r["i"], r["j"]) for r in sim.jaccard(m, least=0.3, block=4, panel=2).collect()}
+    assert near == {(a, b) for (a, b), n in pairs.items() if n >= 0.3 * len(sets[a] | sets[b]) - 1e-9}
+
+
+def test_edges_multiply_once(spark):
+    plan = sim.edges(communities(spark), few=0)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1
