@@ -1,8 +1,11 @@
 """Results and shapes that only inputs larger than the given ones show."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
+from forumlens.operators import cluster as cl
 from forumlens.operators import similarity as sim
 from forumlens.workload import QUERIES
 from forumlens.workload.views import Tables
@@ -55,3 +58,26 @@ def test_product_of_split_block_pairs_is_exact(spark, monkeypatch, members):
 def test_edges_multiply_once(spark):
     plan = sim.edges(communities(spark), few=0)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("MapInArrow") == 1
+
+
+@pytest.mark.parametrize("size", [7, 60, 1 << 20])
+def test_thinned_pairs_keep_the_tree(spark, size):
+    rng = random.Random(5)
+    names = [f"n{k}" for k in range(30)] + ["é", "z\U0001f600", "z￮"]
+    pairs = {tuple(sorted(rng.sample(names, 2))): rng.randrange(4) / 4 for _ in range(300)}
+    df = spark.createDataFrame([(*p, d) for p, d in pairs.items()], "i string, j string, distance double").coalesce(1)
+    root = {n: n for n in names}
+
+    def find(n):
+        while root[n] != n:
+            n = root[n]
+        return n
+
+    tree = set()
+    for d, i, j in sorted((d, *p) for p, d in pairs.items()):
+        if find(i) != find(j):
+            root[find(i)] = find(j)
+            tree.add((i, j, d))
+    thin = {tuple(r) for r in cl.thinned(df, size).collect()}
+    assert tree <= thin and (size < 100 or thin == tree)
+    assert {tuple(r) for r in cl.merge_tree(df).collect()} == tree
