@@ -6,7 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from forumlens.operators import cluster as cl
+from forumlens.operators import ngrams as ng
 from forumlens.operators import similarity as sim
+from forumlens.session import freeze
 from forumlens.workload import QUERIES
 from forumlens.workload.views import Tables
 
@@ -81,3 +83,16 @@ def test_thinned_pairs_keep_the_tree(spark, size):
     thin = {tuple(r) for r in cl.thinned(df, size).collect()}
     assert tree <= thin and (size < 100 or thin == tree)
     assert {tuple(r) for r in cl.merge_tree(df).collect()} == tree
+
+
+def test_vocabulary_stores_only_grams_that_can_be_in_it(spark, monkeypatch):
+    texts = [(" ".join(f"w{k % m}" for m in (1, 2, 3, 5, 7, 400)),) for k in range(400)]
+    df = spark.createDataFrame(texts, "text string")
+    stored = []
+    monkeypatch.setattr(ng, "freeze", lambda d, label: stored.append(freeze(d, label)) or stored[-1])
+    sizes = {1: 4, 2: 3, 3: 10_000}
+    plain = ng.vocab(ng.doc_freq(df), sizes)
+    bounded = ng.vocab(ng.doc_freq(df), sizes, ng.doc_freq(df.limit(40)))
+    assert [tuple(r) for r in bounded.collect()] == [tuple(r) for r in plain.collect()]
+    count = lambda d, n: d.filter(F.col("n") == n).count()
+    assert count(stored[-1], 1) * 5 < count(stored[0], 1) and count(stored[-1], 3) == count(stored[0], 3)
