@@ -112,6 +112,12 @@ def merge(target: DataFrame, source: DataFrame, key, policy: Policy, ts: str | N
     rows = admitted(target, source, key, policy, ts, history, fold_case)
     if history:
         return target.unionByName(rows, allowMissingColumns=True)
+    return applied(target, rows, key, ts, ties, update_cols, fold_case)
+
+
+def applied(target: DataFrame, rows: DataFrame, key, ts: str | None = "timestamp", ties: tuple[str, ...] = (),
+            update_cols: list[str] | None = None, fold_case: bool = False) -> DataFrame:
+    """Target after rows that the policy let through."""
     order = ([ts] if ts else []) + list(ties)
     if not order:
         raise ValueError("a merge needs a timestamp or tie columns to order rows of one key")

@@ -12,31 +12,34 @@ lost at any point leaves the table as it was.  A commit names its writer and bat
 Two writers that race for a number: the rename of one fails and it starts again from the newer version.
 The rename has to be atomic for folders (HDFS, local and network file systems).
 
-Files of a lot are dealt by ranges of the first key column, as text, so batches of neighbouring keys touch few files.  Keys are
-compared as ``merge`` does: NULL is a key like others, and upper and lower case are one with ``fold_case``.
+Files of a lot are dealt by ranges of the first key column, integers in their order and others as text, so batches of neighbouring
+keys touch few files.  Of these only files that hold the key of a row the policy admits are written anew.  Keys are compared as ``merge`` does: NULL is a key like others, and upper and lower case are one with ``fold_case``.
 """
 
 from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from forumlens.operators.merge import Policy, admitted, first_of, merge, missing_rows
-from forumlens.operators.ranking import columns
+from forumlens.operators.merge import Policy, admitted, applied, first_of, missing_rows
+from forumlens.operators.ranking import columns, match_keys
 from forumlens.session import freeze
 
 MANIFEST = "kind string, file string, lot string, rows long, least string, most string, nulls boolean, writer string, batch long"
 INDEX = "file string, words array<long>"
 ROWS_PER_FILE = 1_000_000
-# Filter: bits per key, and probes of a key.
+# Filter: bits per key, and probes of a key, all in one word.
 KEY_BITS = 10
 PROBES = 4
-# A batch's keys are probed in this many ranges of about equal size, so a file meets only the ranges it overlaps.
+# A batch's keys are probed in ranges of about equal size, at most so many and of at least so many rows, so a file meets only
+# the ranges it overlaps.
 RANGES = 256
+RANGE_ROWS = 16384
 # Hashes of one range that are probed as one row.
 PACK = 4096
 
@@ -107,24 +110,43 @@ class Store:
         """The table at a version, the newest by default."""
         return self._read_files([r["file"] for r in self.files(version).select("file").collect()])
 
+    def _spread(self, batch: DataFrame) -> DataFrame:
+        """A batch of few partitions, as a large file is, over all cores."""
+        cores = self.spark.sparkContext.defaultParallelism
+        return batch.repartition(cores) if batch.rdd.getNumPartitions() < cores else batch
+
     # Keys
 
     def _key(self) -> list[Column]:
         return [F.lower(k) if self.fold_case else F.col(k) for k in self.key]
 
+    def _first(self) -> Column:
+        """First key column, as text unless it is an integer: a least and greatest integer need no sort."""
+        return self._key()[0] if isinstance(self.schema[self.key[0]].dataType, T.IntegralType) else self._key()[0].cast("string")
+
+    def _text(self, first: Column) -> Column:
+        """Text in the order of ``_first``: an integer's bits with the sign turned, as 16 hex digits."""
+        if not isinstance(self.schema[self.key[0]].dataType, T.IntegralType):
+            return first
+        return F.lpad(F.hex(first.cast("long").bitwiseXOR(F.lit(-(2**63)))), 16, "0")
+
     def _lead(self) -> Column:
-        return self._key()[0].cast("string")
+        return self._text(self._first())
 
     def _hash(self) -> Column:
         return F.xxhash64(*(c.cast("string") for c in self._key()))
 
     @staticmethod
-    def _bit(h: Column, probe: int, n_bits: Column) -> Column:
-        return F.pmod(h if probe == 0 else F.xxhash64(h, F.lit(probe)), n_bits)
+    def _bits(h: Column) -> Column:
+        """The bits that a key sets in its word."""
+        second = F.xxhash64(h, F.lit(1))
+        ones = [F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftright(second, 6 * p).bitwiseAND(63).cast("int"))
+                for p in range(PROBES)]
+        return reduce(lambda a, b: a.bitwiseOR(b), ones)
 
     def _file(self) -> Column:
         """``<lot>/<name>`` of the file that a row stands in."""
-        return F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+/[^/]+)$", 1)
+        return F.substring_index("_metadata.file_path", "/", -2)
 
     # Writing
 
@@ -140,15 +162,16 @@ class Store:
         dealt = rows.repartitionByRange(parts, self._lead(), self._hash(), F.xxhash64(*plain)) if parts > 1 else rows.coalesce(1)
         dealt.write.parquet(f"{self.path}/data/{lot}")
         written = self.spark.read.schema(self.schema).parquet(f"{self.path}/data/{lot}")
-        written = written.select(self._file().alias("file"), self._lead().alias("lead"), self._hash().alias("h"))
-        listed = freeze(written.groupBy("file").agg(
-            F.count(F.lit(1)).alias("rows"), F.min("lead").alias("least"), F.max("lead").alias("most"),
-            F.bool_or(F.col("lead").isNull()).alias("nulls")), "files")
+        written = written.select(self._file().alias("file"), self._first().alias("first"), self._hash().alias("h"))
+        listed = written.groupBy("file").agg(
+            F.count(F.lit(1)).alias("rows"), F.min("first").alias("_least"), F.max("first").alias("_most"),
+            F.bool_or(F.col("first").isNull()).alias("nulls"))
+        listed = freeze(listed.select("file", "rows", self._text(F.col("_least")).alias("least"),
+                                      self._text(F.col("_most")).alias("most"), "nulls"), "files")
         sized = listed.select(F.col("file").alias("_file"), F.ceil(F.col("rows") * KEY_BITS / 64).cast("long").alias("n_words"))
-        probes = F.array(*(self._bit(F.col("h"), p, F.col("n_words") * 64) for p in range(PROBES)))
         ones = (
-            written.join(sized, F.col("file") == F.col("_file")).select("file", F.explode(probes).alias("bit"))
-            .select("file", F.floor(F.col("bit") / 64).alias("word"), F.expr("shiftleft(1L, CAST(bit % 64 AS INT))").alias("bits")))
+            written.join(sized, F.col("file") == F.col("_file"))
+            .select("file", F.pmod("h", "n_words").alias("word"), self._bits(F.col("h")).alias("bits")))
         zeros = sized.select(F.col("_file").alias("file"), F.explode(F.sequence(F.lit(0), F.col("n_words") - 1)).alias("word"),
                              F.lit(0).cast("long").alias("bits"))
         filled = ones.unionAll(zeros).groupBy("file", "word").agg(F.bit_or("bits").alias("bits"))
@@ -160,13 +183,19 @@ class Store:
     def touched(self, batch: DataFrame, version: int | None = None) -> DataFrame:
         """Names of the files that can hold a key of ``batch``: by key range, then by filter."""
         files = self.files(version)
-        keys = batch.select(self._lead().alias("lead"), self._hash().alias("h")).distinct()
-        keys = freeze(keys.repartitionByRange(RANGES, "lead", "h").withColumn("range", F.spark_partition_id()), "keys")
+        live = files.select("file", "lot", "nulls").collect()
+        if not live:
+            return files.select("file")
+        keys = batch.select(self._lead().alias("lead"), self._hash().alias("h"))
+        n_ranges = min(RANGES, -(-batch.count() // RANGE_ROWS) or 1)
+        keys = freeze(keys.distinct().repartitionByRange(n_ranges, "lead", "h").withColumn("range", F.spark_partition_id()), "keys")
         named = keys.filter(F.col("lead").isNotNull())
-        nulls = files.filter("nulls").select("file") if keys.filter(F.col("lead").isNull()).count() else files.limit(0).select("file")
-        ranges = named.groupBy("range").agg(F.min("lead").alias("first"), F.count(F.lit(1)).alias("n")).orderBy("range").collect()
-        lots = [r["lot"] for r in files.select("lot").distinct().collect()]
-        if not ranges or not lots:
+        ranges = keys.groupBy("range").agg(F.min("lead").alias("first"), F.count("lead").alias("n"), F.count(F.lit(1)).alias("all"))
+        ranges = ranges.orderBy("range").collect()
+        nulls = files.filter("nulls").select("file") if any(r["all"] > r["n"] for r in ranges) else files.limit(0).select("file")
+        ranges = [r for r in ranges if r["n"]]
+        lots = sorted({r["lot"] for r in live})
+        if not ranges:
             return nulls
         # At most RANGES ranges: number, first key, and lots of hashes that each is dealt in.
         number = {r["range"]: k for k, r in enumerate(ranges)}
@@ -185,15 +214,12 @@ class Store:
         index = self.spark.read.schema(INDEX).parquet(*(f"{self.path}/index/{lot}" for lot in lots))
         near = spans.join(packed, "range").filter((F.col("first") <= F.col("most")) & (F.col("last") >= F.col("least")))
         near = near.select("file", "least", "most", "keys").join(index, "file")
-        n_bits = F.size("words").cast("long") * 64
+        n_words = F.size("words").cast("long")
 
         def held(k: Column) -> Column:
-            found = (k["lead"] >= F.col("least")) & (k["lead"] <= F.col("most"))
-            for p in range(PROBES):
-                bit = self._bit(k["h"], p, n_bits)
-                word = F.get(F.col("words"), F.floor(bit / 64).cast("int"))
-                found = found & (F.getbit(word, (bit % 64).cast("int")) == 1)
-            return found
+            bits = self._bits(k["h"])
+            word = F.get(F.col("words"), F.pmod(k["h"], n_words).cast("int"))
+            return (k["lead"] >= F.col("least")) & (k["lead"] <= F.col("most")) & (word.bitwiseAND(bits) == bits)
 
         return near.filter(F.exists("keys", held)).select("file").unionAll(nulls).distinct()
 
@@ -202,26 +228,36 @@ class Store:
               batch_id: int | None = None) -> int:
         """Merges a batch as ``operators.merge.merge`` does and returns the version that holds it.
 
-        Only files that can hold a key of the batch are read, and only they are written anew; a history is appended to.
+        Only files that can hold a key of the batch are read, and only those that hold a key of an admitted row are written
+        anew; a history is appended to.
         """
-        rows = freeze(batch, "batch")
+        rows = freeze(self._spread(batch), "batch")
 
         def change(base: int) -> tuple[DataFrame, DataFrame]:
-            touched = freeze(self.touched(rows, base), "touched")
-            stored = self._read_files([r["file"] for r in touched.collect()])
+            near = [r["file"] for r in self.touched(rows, base).collect()]
+            passed = freeze(admitted(self._read_files(near), rows, self.key, policy, ts, history, self.fold_case), "admitted")
             if history:
-                new = admitted(stored, rows, self.key, policy, ts, history=True, fold_case=self.fold_case)
-                return self._manifest(base), stored.limit(0).unionByName(new, allowMissingColumns=True)
-            new = merge(stored, rows, self.key, policy, ts, ties, update_cols=update_cols, fold_case=self.fold_case)
-            gone = touched.select(F.col("file").alias("_gone"))
+                return self._manifest(base), self._read_files([]).unionByName(passed, allowMissingColumns=True)
+            held = self._holding(near, passed)
+            new = applied(self._read_files(held), passed, self.key, ts, ties, update_cols, self.fold_case)
+            gone = self.spark.createDataFrame([(f,) for f in held], "_gone string")
             return self._manifest(base).join(gone, F.col("file") == F.col("_gone"), "left_anti"), new
 
         return self._committing(change, writer, batch_id)
 
+    def _holding(self, files: list[str], rows: DataFrame) -> list[str]:
+        """The files that hold a key of ``rows``."""
+        if not files:
+            return []
+        names = [f"_key_{k}" for k in self.key]
+        stored = self._read_files(files).select(self._file().alias("file"), *(c.alias(n) for c, n in zip(self._key(), names)))
+        keys = rows.select(*(c.alias(f"_of_{n}") for c, n in zip(self._key(), names)))
+        return [r["file"] for r in stored.join(keys, match_keys(names, "_of_"), "left_semi").select("file").distinct().collect()]
+
     def insert_missing(self, batch: DataFrame, order: list[Column] | None = None, writer: str | None = None,
                        batch_id: int | None = None) -> int:
         """Adds the rows whose key is not stored, one for each key (the first in ``order``); no file is written anew."""
-        rows = freeze(first_of(batch, self.key, order), "batch")
+        rows = freeze(first_of(self._spread(batch), self.key, order), "batch")
 
         def change(base: int) -> tuple[DataFrame, DataFrame]:
             stored = self._read_files([r["file"] for r in self.touched(rows, base).collect()])

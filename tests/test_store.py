@@ -149,3 +149,25 @@ def test_insert_missing_and_empty_tables(spark):
     assert sorted(((r["id"], r["score"]) for r in store.read().collect()), key=repr) == [("a", 1), ("b", 2), (None, 1)]
     store.merge(empty, mg.policy_comments(), writer="w", batch_id=0)
     assert store.read().count() == 3 and store.committed("w") == 0
+
+
+def test_integer_keys_lie_in_their_own_order(spark):
+    """As text, 100 to 999 lie between 10 and 99: a batch of them would reach files that hold none of its keys."""
+    data = spark.range(-50, 950).select(F.col("id"), F.lit(1).alias("score"), F.lit("thread").alias("scrape_mode"),
+                                        F.lit(T0).cast("timestamp_ntz").alias("timestamp"))
+    store = Store(spark, scratch_path(spark, "store"), data.schema, "id", rows_per_file=100)
+    store.append(data)
+    spans = sorted((r["least"], r["most"], r["rows"]) for r in store.files().collect())
+    assert len(spans) >= 8 and all(a[1] < b[0] for a, b in zip(spans, spans[1:]))
+    ids = lambda *k: data.filter(F.col("id").isin(*k))
+    lowest = min(store.files().collect(), key=lambda r: r["least"])
+    assert [r["file"] for r in store.touched(ids(-50, -49)).collect()] == [lowest["file"]]
+
+
+def test_files_without_admitted_rows_are_not_written_anew(spark):
+    store, first = store_of(spark, [f"k{i:04d}" for i in range(1000)] + [None])
+    before = names(store)
+    refused = frame(spark, [f"k{i:04d}" for i in range(0, 1000, 10)], 2, "profile", 1)
+    store.merge(refused.unionAll(frame(spark, ["new", "k0105"], 3, days=1)), mg.policy_comments())
+    assert len(before - names(store)) == 1
+    assert store.read().count() == 1002 and store.read().filter("score = 3").count() == 2
