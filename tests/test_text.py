@@ -233,3 +233,14 @@ def test_a_chain_of_a_hundred_thousand_comments(spark):
     got = tree.levels(chain, [F.col("id")])
     assert [t for _, t in got.dtypes if t.startswith("array")] == []
     assert got.filter("level = id").count() == n
+
+
+def test_word_counts_of_repeated_ids_and_without_shuffling_rows(spark):
+    data = spark.createDataFrame(
+        [(1, "g", "a b a"), (2, "g", "a"), (2, "g", "a c"), (2, "h", "a"), (None, "g", "a b"), (3, "g", None)],
+        "id bigint, subreddit string, text string")
+    assert rows(lx.word_counts(data)) == [("g", "a", 5, 2), ("g", "b", 2, 1), ("g", "c", 1, 1), ("h", "a", 1, 1)]
+    many = spark.range(2000).select("id", F.lit("g").alias("subreddit"), F.lit("a b c").alias("text"))
+    plan = lx.word_counts(many)._jdf.queryExecution().executedPlan().toString()
+    placed = [line for line in plan.splitlines() if "hashpartitioning" in line and "word" in line and "id#" in line]
+    assert len(placed) <= 1  # only that of the rows that share an id
