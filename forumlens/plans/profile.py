@@ -35,6 +35,9 @@ class ProfileOptions:
     ts: str = "timestamp"
 
 
+# Rows of the summaries, once for each kind, that a task ranks and widens.
+MEMBER_ROWS = 250_000
+
 GILDINGS = [f"{kind}_{metal}" for kind in ("submissions", "comments") for metal in ("silver", "gold", "platinum")]
 
 
@@ -255,8 +258,8 @@ def _cells(kind: str, key: str, n: int, count: str, names: dict[str, str]) -> li
         for k in range(1, n + 1) for source, target in names.items()]
 
 
-def _per_member(summary: DataFrame, unit: str, kinds: dict[str, str], cells: list) -> DataFrame:
-    """Totals and ranked columns of every member, from a summary that is dealt by member once.
+def _per_member(summary: DataFrame, unit: str, kinds: dict[str, str], cells: list, tasks: int) -> DataFrame:
+    """Totals and ranked columns of every member, from a summary that is dealt by member to ``tasks`` once.
 
     Every row counts in each of ``kinds`` (name to key column); the first one's rows make the totals.  Grouping, ranking and the
     last aggregation all keep the member's placement, and so does the join that follows.
@@ -264,7 +267,7 @@ def _per_member(summary: DataFrame, unit: str, kinds: dict[str, str], cells: lis
     null = lambda c: F.lit(None).cast(summary.schema[c].dataType)
     views = [F.struct(F.lit(kind).alias("_kind"), *((F.col(c) if other == kind else null(c)).alias(f"_{other}") for other, c in kinds.items()))
              for kind in kinds]
-    placed = summary.repartition("username")
+    placed = summary.repartition(tasks, "username")
     keyed = placed.select("username", *SUMS, "last", F.inline(F.array(*views)))
     rows = rollup(keyed, ["username", "_kind", *(f"_{k}" for k in kinds)])
     order = [F.col("n").desc(), *(F.col(f"_{k}").asc_nulls_last() for k in kinds)]
@@ -297,9 +300,11 @@ def profile(users1: DataFrame, users2: DataFrame, comments: DataFrame, threads:
     by_comment = _cells("group", group, opts.n_comment_groups, "comment_count", comment_names(opts.gilded, group))
     by_thread = _cells("group", group, opts.n_thread_groups, "thread_count", thread_names(opts.gilded, group))
     by_domain = _cells("domain", "domain", opts.n_domains, "domain_count", domain_names(opts.gilded))
+    # As many tasks as bound the rows of each, both alike so that the join keeps the placement.
+    tasks = max(int(c.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-(c.count() + 2 * t.count()) // MEMBER_ROWS))
     out = compare(base, users2, opts)
-    out = out.join(_per_member(c, "comment", {"group": group}, by_comment), "username", "left")
-    out = out.join(_per_member(t, "thread", {"group": group, "domain": "domain"}, by_thread + by_domain), "username", "left")
+    out = out.join(_per_member(c, "comment", {"group": group}, by_comment, tasks), "username", "left")
+    out = out.join(_per_member(t, "thread", {"group": group, "domain": "domain"}, by_thread + by_domain, tasks), "username", "left")
     return out.withColumn("bad_flag", bad_flag())
 
 

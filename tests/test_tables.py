@@ -2,6 +2,7 @@
 
 import datetime as dt
 import random
+import re
 
 import pytest
 from conftest import rows
@@ -16,6 +17,7 @@ from forumlens.plans import profile as prof
 from forumlens.plans import risk
 from forumlens.sources import files
 from forumlens.sources.schemas import KEYS, SCHEMAS
+from forumlens.workload.views import Tables
 
 DAY = dt.timedelta(days=1)
 T0 = dt.datetime(2020, 1, 1)
@@ -286,3 +288,12 @@ def test_profile_deals_each_activity_table_by_member_once(spark):
     assert (got["u0"]["comment_count"], got["u0"]["total_thread_score"]) == (len(mine), sum(r[3] for r in mine))
     assert [(-got["u0"][f"subreddit_{k}_comment_count"], got["u0"][f"subreddit_{k}_comments"]) for k in (1, 2, 3)] == by_group[:3]
     assert [(-got["u0"][f"domain_{k}_thread_count"], got["u0"][f"domain_{k}"]) for k in range(1, len(by_domain) + 1)] == by_domain
+
+
+def test_profile_tasks_grow_with_the_summaries(spark, monkeypatch):
+    """Memory of a task is bounded by the rows dealt to it, not by the shuffle partitions that happen to be set."""
+    t = Tables(spark, "/root/testdata/sf0.001")
+    monkeypatch.setattr(prof, "MEMBER_ROWS", 100)
+    plan = prof.profile(t.users_t1, t.users_t2, t.comments, t.threads)._jdf.queryExecution().executedPlan().toString()
+    tasks = [int(n) for n in re.findall(r"hashpartitioning\(username#\d+, (\d+)\), REPARTITION_BY_NUM", plan)]
+    assert tasks and min(tasks) > 20
