@@ -34,7 +34,12 @@ def unique_nodes(nodes: DataFrame, order: list[Column] | None = None, thread: st
 
 def depths(nodes: DataFrame, order: list[Column] | None = None, thread: str = "thread_id") -> DataFrame:
     """(thread, id, parent_id, level) of every node that hangs on a root; a row keeps its width however long its chain is."""
-    hops = unique_nodes(nodes, order, thread).select(
+    return _depths(unique_nodes(nodes, order, thread), thread)
+
+
+def _depths(unique: DataFrame, thread: str) -> DataFrame:
+    """``depths`` of nodes that come up once each."""
+    hops = unique.select(
         F.col(thread).alias("_thread"), F.col("id").alias("_id"), F.col("parent_id").alias("_parent"),
         F.col("parent_id").alias("_up"), F.lit(0).alias("level"))
     hops = freeze(hops, "depths")
@@ -61,7 +66,7 @@ def spans(nodes: DataFrame, order: list[Column] | None = None, thread: str = "th
     """
     order = default_order() if order is None else order
     unique = freeze(unique_nodes(nodes, order, thread), "nodes")
-    rooted = depths(unique, order, thread).select(F.col(thread).alias("_t"), F.col("id").alias("_i"))
+    rooted = _depths(unique, thread).select(F.col(thread).alias("_t"), F.col("id").alias("_i"))
     hanging = unique.join(rooted, (F.col(thread) == F.col("_t")) & F.col("id").eqNullSafe(F.col("_i")), "left_semi")
     ranked = exact_rank(hanging, order, [thread, "parent_id"], "_rn")
     ranked = freeze(ranked.select(F.col(thread).alias("t"), "id", F.col("parent_id").alias("parent"), F.col("_rn").alias("rn")), "siblings")
@@ -194,7 +199,7 @@ def counters(visited: DataFrame, thread: str = "thread_id") -> DataFrame:
 def drop_orphans(nodes: DataFrame, order: list[Column] | None = None, thread: str = "thread_id") -> DataFrame:
     """Nodes whose chain of parents reaches a root, each once."""
     nodes = freeze(unique_nodes(nodes, order, thread), "nodes")
-    rooted = depths(nodes, order, thread).select(F.col(thread).alias("_t"), F.col("id").alias("_i"))
+    rooted = _depths(nodes, thread).select(F.col(thread).alias("_t"), F.col("id").alias("_i"))
     return nodes.join(rooted, (F.col(thread) == F.col("_t")) & (F.col("id") == F.col("_i")), "left_semi")
 
 
