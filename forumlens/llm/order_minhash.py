@@ -15,6 +15,7 @@ worked off by leaders: the least node is compared with all members outside its c
 leaves; later rounds take 16, 4,096 and more leaders.  After the first round the shingles that only one
 node of the open buckets has are counted, and every node gets a bitmap of ``BITS`` bits of its shingles: a bit that the other
 node lacks is a shingle it lacks.  Both bound the similarity of a pair from above, and pairs out of reach are not compared.
+Nodes meet in many buckets: the least bucket that the leader leads makes the pair, not every bucket.
 Nodes with the smallest share of shingles of their own lead: they are the ones that near copies have in common.  A bucket is closed when its members form one component or all its cross pairs have been
 compared or ruled out, so no candidate pair of different components stays untested, while a group of n near
 copies costs about n comparisons.
@@ -346,6 +347,27 @@ def _within_reach(threshold: float):
     return reach("n", "u", "b", "p") | (~plain & reach("nd", "ud", "bd", "pd"))
 
 
+def _meetings(large: DataFrame, led: DataFrame) -> DataFrame:
+    """The rows of ``large`` with all buckets that their node is in (mem), those that it leads (lead), 32 at most, and whether it leads this one."""
+    both = large.withColumn("_led", F.lit(False)).unionByName(led.withColumn("_led", F.lit(True)), allowMissingColumns=True)
+    listed = lambda which: F.collect_list(F.when(which, F.col("bucket"))).over(Window.partitionBy("node"))
+    both = both.withColumns({"mem": listed(~F.col("_led")), "lead": listed(F.col("_led"))})
+    return both.filter("not _led").withColumn("leads", F.array_contains("lead", F.col("bucket"))).drop("_led")
+
+
+def _pairs(left: DataFrame, right: DataFrame, threshold: float, extra: list[str], once: str, here: str = "true") -> DataFrame:
+    renamed = [F.col(c).alias(f"{c}2") for c in ("bucket", "node", "n", "nd", "u", "ud", "b", "bd", "p", "pd", "label", *extra)]
+    on = (F.col("bucket") == F.col("bucket2")) & (F.col("label") != F.col("label2")) & F.expr(once) & _within_reach(threshold) & F.expr(here)
+    return left.join(right.select(*renamed), on).select(
+        F.least("node", "node2").alias("i"), F.greatest("node", "node2").alias("j"))
+
+
+def _leader_pairs(large: DataFrame, threshold: float) -> DataFrame:
+    """Members with leaders.  Nodes meet in many buckets; the least one that the leader leads makes the pair, of two leaders the lesser's."""
+    least = "bucket = array_min(array_intersect(lead2, mem))"
+    return _pairs(large, large.filter("leads"), threshold, ["lead"], "NOT leads OR node2 < node", least)
+
+
 def _candidates(members: DataFrame, leaders: int, threshold: float) -> tuple[DataFrame, DataFrame] | None:
     """Pairs to compare now, and the members of the buckets that stay open; None if all are closed."""
     share = members.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("c"))
@@ -357,20 +379,10 @@ def _candidates(members: DataFrame, leaders: int, threshold: float) -> tuple[Dat
         return None
     direct, large = live.filter("direct"), live.filter("not direct")
     first = Window.partitionBy("bucket").orderBy(F.col("u") / F.col("n"), "node")
-    led = freeze(large.withColumn("_at", F.row_number().over(first)).filter(F.col("_at") <= leaders).drop("_at"), "leaders")
-    renamed = [F.col(c).alias(f"{c}2") for c in ("bucket", "node", "n", "nd", "u", "ud", "b", "bd", "p", "pd", "label")]
-
-    def pairs(left: DataFrame, right: DataFrame, ordered: bool) -> DataFrame:
-        on = (F.col("bucket") == F.col("bucket2")) & (F.col("label") != F.col("label2")) & _within_reach(threshold)
-        if ordered:
-            on = on & (F.col("node") < F.col("node2"))
-        return left.join(right.select(*renamed), on).select(
-            F.least("node", "node2").alias("i"), F.greatest("node", "node2").alias("j"))
-
-    found = pairs(direct, direct, True).unionByName(pairs(large, led, False)).distinct()
-    gone = led.select(F.col("bucket").alias("_b"), F.col("node").alias("_n"))
-    rest = large.join(gone, (F.col("bucket") == F.col("_b")) & (F.col("node") == F.col("_n")), "left_anti")
-    return found, rest.drop("direct")
+    led = freeze(large.withColumn("_at", F.row_number().over(first)).filter(F.col("_at") <= leaders).select("bucket", "node"), "leaders")
+    large = freeze(_meetings(large.drop("direct"), led), "meetings")
+    found = _pairs(direct, direct, threshold, [], "node2 < node").unionByName(_leader_pairs(large, threshold)).distinct()
+    return found, large.filter("not leads").drop("mem", "lead", "leads")
 
 
 def near_links(docs: DataFrame, sketched: DataFrame, threshold: float = THRESHOLD) -> DataFrame | None:

@@ -5,6 +5,7 @@ import time
 
 from forumlens.llm import html_blocks, line_suffixes, order_minhash, toxicity, unigram, winnowing
 from forumlens.llm.text import words_of
+from pyspark.sql import functions as F
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -112,3 +113,18 @@ def test_near_copies_around_the_threshold_equal_brute_force(spark):
                 label[max(find(a), find(b))] = min(find(a), find(b))
     got = {r["doc_id"]: r["class_id"] for r in order_minhash.near_duplicates(docs(spark, texts)).collect()}
     assert got == {k: find(k) for k in range(len(texts))} and links > 100 and len(set(got.values())) > 3
+
+
+def test_leaders_and_members_make_a_pair_once_in_however_many_buckets_they_meet(spark):
+    """60 nodes meet in 16 buckets: a join by bucket made each pair up to 32 times."""
+    members = spark.range(60).selectExpr(
+        "CAST(id AS STRING) AS node", "10L AS n", "10L AS nd", "0L AS u", "0L AS ud", "CAST(NULL AS ARRAY<BIGINT>) AS b", "CAST(NULL AS ARRAY<BIGINT>) AS bd",
+        "0L AS p", "0L AS pd", "CAST(id AS STRING) AS label", "explode(sequence(0L, 15L)) AS bucket").filter(
+        "(bucket + CAST(node AS INT)) % 5 > 0")
+    for led, most in ((members, 1), (members.filter("CAST(node AS INT) < bucket"), 2)):
+        led = led.select("bucket", "node")
+        got = order_minhash._leader_pairs(order_minhash._meetings(members, led), 0.8)
+        a, b = led.toDF("bucket", "i"), members.select("bucket", F.col("node").alias("j"))
+        want = {tuple(sorted(r)) for r in a.join(b, "bucket").filter("i != j").select("i", "j").collect()}
+        rows = [tuple(r) for r in got.collect()]
+        assert set(rows) == want and len(rows) <= most * len(want)
