@@ -244,3 +244,19 @@ def test_word_counts_of_repeated_ids_and_without_shuffling_rows(spark):
     plan = lx.word_counts(many)._jdf.queryExecution().executedPlan().toString()
     placed = [line for line in plan.splitlines() if "hashpartitioning" in line and "word" in line and "id#" in line]
     assert len(placed) <= 1  # only that of the rows that share an id
+
+
+def test_grams_of_all_lengths_are_made_in_one_pass_each(spark):
+    """Arrays were paired once per place, which made the shorter grams again for every longer one."""
+    texts = ["", "a", "a b", "the of a b the of", " lead and trail ", "x y z x y z", None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, text string")
+    for stop, sizes in (((), (1, 2, 3)), (("the", "of"), (1, 2, 3)), (("the",), (3, 1)), ((), (2, 5))):
+        got = ng.all_grams(df, stop, sizes, keep=["id"])
+        want = set()
+        for i, t in enumerate(texts):
+            w = [] if t is None else t.split(" ")
+            for n in sizes:
+                grams = {tuple(w[k : k + n]) for k in range(len(w) - n + 1)}
+                want |= {(i, n, "_".join(g)) for g in grams if not (n < 3 and all(x in stop for x in g))}
+        assert sorted(map(tuple, got.collect())) == sorted(want)
+        assert "zip_with" not in got._jdf.queryExecution().optimizedPlan().toString()
