@@ -96,3 +96,36 @@ def test_vocabulary_stores_only_grams_that_can_be_in_it(spark, monkeypatch):
     assert [tuple(r) for r in bounded.collect()] == [tuple(r) for r in plain.collect()]
     count = lambda d, n: d.filter(F.col("n") == n).count()
     assert count(stored[-1], 1) * 5 < count(stored[0], 1) and count(stored[-1], 3) == count(stored[0], 3)
+
+
+@pytest.mark.parametrize("block", [2, 5, 1024])
+def test_all_and_requested_pairs_by_blocks(spark, block):
+    m = communities(spark, 5, 3)
+    sets, shared = counted(m)
+    rows_of = lambda df: {(r["i"], r["j"]): (r["common"], r["n_i"], r["n_j"]) for r in df.collect()}
+    want = {(a, b): (shared.get((a, b), 0), len(sets[a]), len(sets[b])) for a in sets for b in sets if a < b}
+    every = sim.with_sizes(m, every=True, block=block)
+    assert every.count() == len(want) and rows_of(every) == want
+    listed = [*want][::3]
+    asked = spark.createDataFrame([p[::-1] for p in listed] + listed[:4] + [("g0-0", "nowhere")], "i string, j string")
+    some = sim.with_sizes(m, asked, block=block)
+    assert some.count() == len(listed) and rows_of(some) == {p: want[p] for p in listed}
+
+
+def test_repeated_rows_count_once(spark):
+    m = communities(spark, 4, 3)
+    sets, shared = counted(m)
+    twice = m.unionByName(m)
+    assert {(r["i"], r["j"]): r["common"] for r in sim.overlap(twice).collect()} == shared
+    assert {r["group"]: r["n"] for r in sim.located(twice).collect()} == {g: len(us) for g, us in sets.items()}
+    assert {r["group"] for r in sim.connected_groups(twice).collect()} == {g for p in shared for g in p}
+
+
+def test_scattered_members_are_summed_apart_only_where_that_spares_cells(spark, monkeypatch):
+    m = communities(spark)
+    _, pairs = counted(m)
+    index = sim.indexed(m)
+    found = lambda: {(r["i"], r["j"]): r["common"] for r in sim.overlap(index, block=2, panel=4).collect()}
+    assert found() == pairs and sim.member_cells(index, None, 2).filter("b1 < 0").isEmpty()
+    monkeypatch.setattr(sim, "SPARED", 0)
+    assert found() == pairs and not sim.member_cells(index, None, 2).filter("b1 < 0").isEmpty()
