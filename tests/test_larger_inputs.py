@@ -98,6 +98,26 @@ def test_vocabulary_stores_only_grams_that_can_be_in_it(spark, monkeypatch):
     assert count(stored[-1], 1) * 5 < count(stored[0], 1) and count(stored[-1], 3) == count(stored[0], 3)
 
 
+def memberships(spark, tmp_path):
+    """Tables in which only g1 and g2 share a member; a member comes twice and one is unknown."""
+    orders = [(1, 1), (2, 2), (3, 3), (4, 50), (5, 1)]
+    lines = [(1, 1, 1), (2, 1, 2), (3, 3, 1), (4, 4, 1), (5, 2, 1), (5, 2, 2)]
+    stamp = "TIMESTAMP_NTZ '1995-01-01 00:00:00'"
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long").selectExpr("*", f"{stamp} AS o_orderdate").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame(lines, "l_orderkey long, l_suppkey long, l_linenumber int").selectExpr(
+        "*", "20.0D AS l_quantity", "'N' AS l_returnflag", "'F' AS l_linestatus", f"{stamp} AS l_shipdate").write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame([(k, 100.0, 0, "BUILDING") for k in range(1, 6)],
+                          "c_custkey long, c_acctbal double, c_nationkey int, c_mktsegment string").write.parquet(f"{tmp_path}/customer.parquet")
+    return Tables(spark, str(tmp_path))
+
+
+def test_rand_index_has_all_pairs_of_groups(spark, tmp_path):
+    t = memberships(spark, tmp_path)
+    got = {(r["i"], r["j"]): r["rand_index"] for r in QUERIES["rand_index"](t).collect()}
+    # Five users: g1 has u1 and u2, g2 has u1, g3 has u3; g4 has nobody known.
+    assert got == {("g1", "g2"): 0.3, ("g1", "g3"): 0.1, ("g2", "g3"): 0.3}
+
+
 @pytest.mark.parametrize("block", [2, 5, 1024])
 def test_all_and_requested_pairs_by_blocks(spark, block):
     m = communities(spark, 5, 3)
